@@ -11,17 +11,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainloom.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainloom.llm.sharding import assign_shards
 
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainloom.llm.edit_counts import count_edited, with_mask_edits
+
+    return count_edited(with_mask_edits(table(spark, sf_dir, "documents")))
+
+
 def op10_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainloom.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_minimax_shards, op10_concat_and_cut)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op8_edit_counts, op10_concat_and_cut)}
 ORACLES: dict[str, str] = {}
