@@ -23,6 +23,18 @@ def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainloom.llm.ordinal import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainloom.llm.spaced_seeds import find_overlaps
+
+    return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainloom.llm.edit_counts import count_edited, with_mask_edits
 
@@ -35,5 +47,5 @@ def op10_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op8_edit_counts, op10_concat_and_cut)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op5_ordinal_quality, op6_spaced_seeds, op8_edit_counts, op10_concat_and_cut)}
 ORACLES: dict[str, str] = {}
