@@ -23,6 +23,12 @@ def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainloom.llm.lsh_forest import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainloom.llm.ordinal import classify
 
@@ -47,5 +53,5 @@ def op10_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op5_ordinal_quality, op6_spaced_seeds, op8_edit_counts, op10_concat_and_cut)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op4_lsh_forest, op5_ordinal_quality, op6_spaced_seeds, op8_edit_counts, op10_concat_and_cut)}
 ORACLES: dict[str, str] = {}
