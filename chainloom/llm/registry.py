@@ -41,6 +41,12 @@ def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainloom.llm.page_diff import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainloom.llm.edit_counts import count_edited, with_mask_edits
 
@@ -53,5 +59,5 @@ def op10_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op4_lsh_forest, op5_ordinal_quality, op6_spaced_seeds, op8_edit_counts, op10_concat_and_cut)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op4_lsh_forest, op5_ordinal_quality, op6_spaced_seeds, op7_page_diff, op8_edit_counts, op10_concat_and_cut)}
 ORACLES: dict[str, str] = {}
