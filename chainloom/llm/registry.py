@@ -23,6 +23,12 @@ def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainloom.llm.ngram_trie import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainloom.llm.lsh_forest import near_duplicates
 
@@ -59,5 +65,5 @@ def op10_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op4_lsh_forest, op5_ordinal_quality, op6_spaced_seeds, op7_page_diff, op8_edit_counts, op10_concat_and_cut)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op3_ngram_trie, op4_lsh_forest, op5_ordinal_quality, op6_spaced_seeds, op7_page_diff, op8_edit_counts, op10_concat_and_cut)}
 ORACLES: dict[str, str] = {}
