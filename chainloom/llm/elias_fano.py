@@ -83,25 +83,35 @@ class EliasFano:
         start = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) - high + 1, 0)
         return start, stop
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Index of the first value not below each of ``values`` (n where there is none)."""
+    def find(self, values: np.ndarray, bound=None) -> tuple[np.ndarray, np.ndarray]:
+        """Index of the first value not below each of ``values`` (n where there is none), and whether it is equal.
+
+        ``bound(k)`` may narrow the search: it gives ranges of indices in which the successors of values[k] must lie.
+        """
         if not self.n:
-            return np.zeros(len(values), dtype=np.int64)
+            return np.zeros(len(values), dtype=np.int64), np.zeros(len(values), dtype=bool)
         values = values.astype(U64)
-        wide = (values >> U64(self.bits)) if self.bits < 64 else np.zeros(len(values), dtype=U64)
+        wide = values >> U64(self.bits)
         most = U64(int(self.zeros[-1]) - 1)
         beyond = wide > most
-        high = np.minimum(wide, most).astype(np.int64)
-        at, stop = self._group(high)
+        at, stop = self._group(np.minimum(wide, most).astype(np.int64))
         low = values & U64((1 << self.bits) - 1)
         at[beyond] = stop[beyond] = self.n
+        if bound is not None and len(crowded := np.flatnonzero(stop - at > 64)):
+            first, last = bound(crowded)
+            at[crowded] = np.maximum(at[crowded], np.minimum(first, stop[crowded]))
+            stop[crowded] = np.minimum(stop[crowded], np.maximum(last, at[crowded]))
+        end = stop.copy()
         open_ = np.flatnonzero(at < stop)
-        while len(open_):  # the values of one high part: about one on average
-            less = unpack(self.lows, at[open_], self.bits) < low[open_]
-            open_ = open_[less]
-            at[open_] += 1
+        while len(open_):  # halve the range of values with the same high part
+            middle = (at[open_] + stop[open_]) >> 1
+            less = unpack(self.lows, middle, self.bits) < low[open_]
+            at[open_[less]] = middle[less] + 1
+            stop[open_[~less]] = middle[~less]
             open_ = open_[at[open_] < stop[open_]]
-        return np.minimum(at, self.n)
+        equal = at < end
+        equal[equal] = unpack(self.lows, at[equal], self.bits) == low[equal]
+        return np.minimum(at, self.n), equal
 
     def get(self, index: np.ndarray) -> np.ndarray:
         """Values at ``index``."""

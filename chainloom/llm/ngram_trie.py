@@ -86,7 +86,7 @@ def read_arrays(path: str) -> tuple[dict, dict[str, np.ndarray]]:
     """Map a file of ``write_arrays``; where the store is not a file system, hold it in memory."""
     fs, where = pafs.FileSystem.from_uri(path)
     if isinstance(fs, pafs.LocalFileSystem):
-        whole = np.memmap(where, dtype=np.uint8, mode="r")
+        whole = np.memmap(where, dtype=np.uint8, mode="r").view(np.ndarray)
     else:
         with fs.open_input_file(where) as source:
             whole = np.frombuffer(source.read(), dtype=np.uint8)
@@ -123,10 +123,11 @@ class Level:
             if hi > lo and bucket[lo] >= 0:
                 yield int(bucket[lo]), slice(int(lo), int(hi))
 
-    def find(self, keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Number (-1: absent) and discounted probability of the nodes with these sorted keys.
+    def find(self, keys: np.ndarray, width: int, score: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Number (-1: absent) and, for scores, discounted probability of the nodes with these sorted keys.
 
-        ``width`` is the number of words. A key's successor is sought from its context's first one on.
+        ``width`` is the number of words. Where many successors are alike in their high bits, the context's pointers
+        bound the search.
         """
         node, alpha = np.full(len(keys), -1, dtype=np.int64), np.zeros(len(keys))
         if not self.paths or not len(keys):
@@ -135,19 +136,19 @@ class Level:
         for b, span in self._spans(bucket):
             meta, arrays = read_arrays(self.paths[b])
             sequence = _sequence(meta, arrays, "successors")
-            wanted = keys[span] - self.first[b]
-            at = sequence.find(wanted)
-            inside = at < sequence.n
-            hit = np.zeros(len(at), dtype=bool)
-            hit[inside] = sequence.get(at[inside]) == wanted[inside]
-            if self.number > 1:  # the pointers must agree that the place is one of the context's own
-                context = (keys[span][hit] // U64(width)).astype(np.int64) - meta["c0"]
-                ends = _sequence(meta, arrays, "pointers").get(context + 1).astype(np.int64)
-                hit[np.flatnonzero(hit)[at[hit] >= ends]] = False
+            bound = None
+            if self.number > 1:
+                context, pointers = (keys[span] // U64(width)).astype(np.int64) - meta["c0"], _sequence(meta, arrays, "pointers")
+
+                def bound(k, context=context, pointers=pointers):
+                    c = np.minimum(context[k], pointers.n - 2)
+                    return pointers.get(c).astype(np.int64), pointers.get(c + 1).astype(np.int64)
+
+            at, hit = sequence.find(keys[span] - self.first[b], bound)
             part = node[span]
             part[hit] = at[hit] + self.base[b]
             node[span] = part
-            if "alpha" in arrays:
+            if score and "alpha" in arrays:
                 part = alpha[span]
                 part[hit] = decode(arrays["alpha"][at[hit]])
                 alpha[span] = part
@@ -163,25 +164,26 @@ class Level:
             before[span], own[span] = start + self.tokens[b], sums.get(at + 1).astype(np.int64) - start
         return before, own
 
-    def weights(self, contexts: np.ndarray, width: int) -> np.ndarray:
-        """Weight left to shorter contexts by each of the sorted nodes of the level below."""
-        out = np.ones(len(contexts))
+    def weights(self, contexts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Weight left to shorter contexts by each of the sorted nodes of the level below, and whether it has successors."""
+        codes = np.zeros(len(contexts), dtype=np.uint16)
+        out, parent = np.ones(len(contexts)), np.zeros(len(contexts), dtype=bool)
         if not self.paths or not len(contexts):
-            return out
-        last = contexts.astype(U64) * U64(width) + U64(width - 1)
-        bucket = np.searchsorted(self.first, last, side="right") - 1
+            return out, parent
+        bucket = np.searchsorted(self.first, contexts.astype(U64) * U64(width) + U64(width - 1), side="right") - 1
         for b, span in self._spans(bucket):
             meta, arrays = read_arrays(self.paths[b])
             at = contexts[span] - meta["c0"]
             inside = (at >= 0) & (at < len(arrays["weights"]))
-            part = out[span]
-            part[inside] = decode(arrays["weights"][at[inside]])
-            out[span] = part
-        for context, weight in self.patch.items():
+            part = codes[span]
+            part[inside] = arrays["weights"][at[inside]]
+            codes[span] = part
+        out, parent = decode(codes), codes > 0
+        for context, weight in self.patch.items():  # contexts at the edges of buckets
             k = int(np.searchsorted(contexts, context))
             if k < len(contexts) and contexts[k] == context:
-                out[k] = weight
-        return out
+                out[k], parent[k] = weight, True
+        return out, parent
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,8 +204,8 @@ class Trie:
     def width(self) -> int:
         return self.levels[0].size
 
-    def walk(self, hashed: np.ndarray, first: np.ndarray, upto: int, score: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Nodes of level ``upto`` that end at each token (-1: none), the words' counts, and log10 probabilities."""
+    def walk(self, hashed: np.ndarray, first: np.ndarray, upto: int, score: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes of level ``upto`` that end at each token (-1: none), the words' ids and counts, log10 probabilities."""
         unique, inverse = np.unique(hashed, return_inverse=True)
         node, _ = self.levels[0].find(unique, 0)
         count = np.zeros(len(unique), dtype=np.int64)
@@ -217,18 +219,20 @@ class Trie:
         for level in self.levels[1:upto]:
             context = np.concatenate([[-1], node[:-1]])
             context[starts] = -1
-            held = np.flatnonzero(context >= 0)
-            if score and len(held):
+            open_ = (context >= 0) & (word >= 0)
+            if score and len(held := np.flatnonzero(context >= 0)):
                 some, back = np.unique(context[held], return_inverse=True)
-                p[held] *= level.weights(some, self.width)[back]
-            both = np.flatnonzero((context >= 0) & (word >= 0))
+                weight, parent = level.weights(some, self.width)
+                p[held] *= weight[back]
+                open_[held] &= parent[back]
+            both = np.flatnonzero(open_)
             keys, back = np.unique(context[both].astype(U64) * U64(self.width) + word[both].astype(U64), return_inverse=True)
-            found, alpha = level.find(keys, self.width)
+            found, alpha = level.find(keys, self.width, score)
             node = np.full(len(hashed), -1, dtype=np.int64)
             node[both] = found[back]
             if score:
                 p[both] += alpha[back]
-        return node, count, np.log10(p) if score else p
+        return node, word, count, np.log10(p) if score else p
 
 
 def _count(docs: DataFrame, trie: Trie | None, number: int, buckets: int) -> DataFrame:
@@ -244,8 +248,7 @@ def _count(docs: DataFrame, trie: Trie | None, number: int, buckets: int) -> Dat
                     keys, counts = np.unique(hashed, return_counts=True)
                     bucket = (keys >> U64(32)) * U64(buckets) >> U64(32)
                 else:
-                    node, _, _ = own.walk(hashed, first, number - 1, False)
-                    word, _, _ = own.walk(hashed, first, 1, False) if number > 2 else (node, None, None)
+                    node, word, _, _ = own.walk(hashed, first, number - 1, False)
                     context = np.concatenate([[-1], node[:-1]])
                     context[first[:-1][first[:-1] < len(hashed)]] = -1
                     both = context >= 0
@@ -298,7 +301,8 @@ def _build(counted: DataFrame, trie: Trie | None, number: int, last: bool, cutof
             number_kept = np.add.reduceat(kept.astype(np.int64), at)
             c0, c1 = int(context[0]), int(context[-1])
             weights = np.zeros(c1 - c0 + 1, dtype=np.uint16)
-            weights[context[at] - c0] = code((total - mass + discount * number_kept) / total)
+            # 0 marks a context none of whose n-grams is kept
+            weights[context[at] - c0] = np.where(number_kept > 0, np.maximum(code((total - mass + discount * number_kept) / total), 1), 0)
             ends = [{"context": int(c), "total": int(total[k]), "kept": int(number_kept[k]), "mass": int(mass[k])} for c in edge for k in [int(np.searchsorted(context[at], c))]]
             spans = np.repeat(total, np.diff([*at, len(keys)]))
             arrays |= {"weights": weights, "alpha": code((counts[kept] - discount) / spans[kept])}
@@ -365,7 +369,7 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
         for batch in batches:
             for start, stop, data, offsets in words.chunks(batch, "text", CHUNK):
                 hashed, first = tokens(data, offsets)
-                _, count, p = own.walk(hashed, first, len(own.levels), True)
+                _, _, count, p = own.walk(hashed, first, len(own.levels), True)
                 base = np.log10((count + 1.0) / (own.total + own.width + 1.0))
                 sums = [np.add.reduceat(v, first[:-1]) for v in ((count > 0).astype(np.int64), base, p)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), *map(pa.array, (np.diff(first), *sums))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])

@@ -42,7 +42,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(CHUNK_BYTES + 1 if n <= CHUNK_BYTES else n + 1)
+    return _powers(1 << max(n, CHUNK_BYTES).bit_length())
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -19,7 +19,8 @@ def test_sequences_find_and_get(top):
         sequence = EliasFano.encode(values)
         assert (sequence.get(np.arange(n)) == values).all()
         wanted = np.concatenate([values, rng.integers(0, top + 5, 300).astype(np.uint64)])
-        assert (sequence.find(wanted) == np.searchsorted(values, wanted)).all()
+        at, equal = sequence.find(wanted)
+        assert (at == np.searchsorted(values, wanted)).all() and (equal == np.isin(wanted, values)).all()
 
 
 def split(text):
