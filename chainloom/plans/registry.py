@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from chainloom.plans import chain, files, messages, parameters, staking, streams, wallets
+from chainloom.plans.register import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "chain", "files", "messages", "parameters", "staking", "streams", "wallets"]
