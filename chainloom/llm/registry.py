@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chainloom.llm import sql
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,4 +76,4 @@ def op10_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op3_ngram_trie, op4_lsh_forest, op5_ordinal_quality, op6_spaced_seeds, op7_page_diff, op8_edit_counts, op9_block_max, op10_concat_and_cut)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_warc_members": sql.WARC_RECORDS, "op4_lsh_forest": sql.NEAR_DUPLICATES, "op9_block_max": sql.TOP_BY_BM25}
