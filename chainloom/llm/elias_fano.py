@@ -35,16 +35,29 @@ def unpack(words: np.ndarray, index: np.ndarray, bits: int) -> np.ndarray:
     return (low | high) & U64((1 << bits) - 1)
 
 
+def _byte_table() -> np.ndarray:
+    """Place of the rank-th set bit of a byte, at rank * 256 + byte."""
+    table = np.zeros(8 * 256, dtype=np.uint64)
+    for byte in range(256):
+        for rank, place in enumerate(k for k in range(8) if byte >> k & 1):
+            table[rank * 256 + byte] = place
+    return table
+
+
+_IN_BYTE = _byte_table()
+_ONES, _TOPS = U64(0x0101010101010101), U64(0x8080808080808080)
+
+
 def _select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Place of the rank-th set bit (from 0) of each word."""
-    place = np.zeros(len(word), dtype=U64)
+    """Place of the rank-th set bit (from 0) of each word: the byte by running sums of set bits, then a table."""
     rank = rank.astype(U64)
-    for width in (32, 16, 8, 4, 2, 1):
-        below = np.bitwise_count((word >> place) & U64((1 << width) - 1)).astype(U64)
-        beyond = rank >= below
-        rank = rank - np.where(beyond, below, U64(0))
-        place = place + np.where(beyond, U64(width), U64(0))
-    return place
+    sums = word - ((word >> U64(1)) & U64(0x5555555555555555))
+    sums = (sums & U64(0x3333333333333333)) + ((sums >> U64(2)) & U64(0x3333333333333333))
+    sums = ((sums + (sums >> U64(4))) & U64(0x0F0F0F0F0F0F0F0F)) * _ONES  # set bits up to each byte
+    place = np.bitwise_count((((rank * _ONES) | _TOPS) - sums) & _TOPS).astype(U64) << U64(3)
+    place = np.minimum(place, U64(56))
+    left = rank - (((sums << U64(8)) >> place) & U64(0xFF))
+    return place + _IN_BYTE[((left & U64(7)) << U64(8)) | ((word >> place) & U64(0xFF))]
 
 
 class EliasFano:
@@ -78,10 +91,16 @@ class EliasFano:
         return word * 64 + _select_in_word(~self.highs[word], rank - self.zeros[word].astype(np.int64)).astype(np.int64)
 
     def _group(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and past-the-last index of the values with these high parts."""
-        stop = self._zero(high) - high
-        start = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) - high + 1, 0)
-        return start, stop
+        """First and past-the-last index of the values with these high parts: the run of set bits after a zero."""
+        bit = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1, 0)
+        start = bit - high
+        word, shift = bit >> 6, (bit & 63).astype(U64)
+        rest = ~self.highs[np.minimum(word, len(self.highs) - 1)] >> shift
+        run = np.bitwise_count((rest & (~rest + U64(1))) - U64(1)).astype(np.int64)  # zeros below the lowest set bit
+        long = np.flatnonzero(rest == U64(0))  # the run goes on in the next word
+        if len(long):
+            run[long] = self._zero(high[long]) - bit[long]
+        return start, start + run
 
     def find(self, values: np.ndarray, bound=None) -> tuple[np.ndarray, np.ndarray]:
         """Index of the first value not below each of ``values`` (n where there is none), and whether it is equal.
