@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -65,18 +65,21 @@ def once(events: DataFrame, ts: str, keys: list[str], late: str) -> DataFrame:
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
+#: Events of a log that are put in order together.
+LOG_SPAN = 1 << 16
+
+
 def resolve_rollbacks(events: DataFrame) -> DataFrame:
     """Blocks that stand after a log of events (seq, kind, slot, hash): forward adds one, rollback drops those beyond.
 
-    A block stands if no later rollback goes to a slot before it: the smallest slot of the rollbacks after each event
-    is a running minimum over one row per rollback, joined to the blocks by ranges of the sequence.
+    A block stands if no later rollback goes to a slot before it. The smallest slot of the later rollbacks is taken
+    within spans of the log by a window, and over all later spans by a window over one row for each span.
     """
-    from pyspark.sql import Window
-
-    back = events.where("kind = 'rollback'").select(F.col("seq").alias("r_seq"), "slot")
-    later = Window.orderBy(F.desc("r_seq")).rowsBetween(Window.unboundedPreceding, 0)
-    ranges = back.withColumn("least", F.min("slot").over(later)).withColumn("after", F.lag("r_seq", 1, -1).over(Window.orderBy("r_seq")))
-    forward = events.where("kind = 'forward'").select("seq", F.col("slot").alias("slot_no"), "hash")
-    joined = forward.join(ranges.select("r_seq", "least", "after"), (F.col("seq") < F.col("r_seq")) & (F.col("seq") > F.col("after")), "left")
-    standing = joined.where("least is null or slot_no <= least")
-    return standing.groupBy("slot_no", "hash").agg(F.max("seq").alias("seq"))
+    rows = events.withColumn("span__", F.floor(F.col("seq") / LOG_SPAN))
+    back = F.when(F.col("kind") == "rollback", F.col("slot"))
+    inside = Window.partitionBy("span__").orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
+    beyond = Window.orderBy(F.desc("span__")).rowsBetween(Window.unboundedPreceding, -1)
+    spans = rows.groupBy("span__").agg(F.min(back).alias("own")).select("span__", F.min("own").over(beyond).alias("beyond__"))
+    marked = rows.withColumn("inside__", F.min(back).over(inside)).join(spans, "span__").withColumn("least", F.least("inside__", "beyond__"))
+    standing = marked.where("kind = 'forward' and (least is null or slot <= least)")
+    return standing.groupBy(F.col("slot").alias("slot_no"), "hash").agg(F.max("seq").alias("seq"))
