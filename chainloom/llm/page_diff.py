@@ -235,7 +235,7 @@ def extract(pages: DataFrame) -> DataFrame:
     full = pages.select(*key, F.coalesce("page_id", F.lit(-1)).cast("long").alias("id"), "page_id", "url", "html")
     full = full.withColumn("places", places("host", "path", "id")).withColumn("place", F.explode("places"))
     full = full.withColumn("own", F.col("place") == F.element_at("places", 1)).drop("places")
-    dealt = full.repartition(count, "place").sortWithinPartitions("place", "host", "path", "id", F.xxhash64("html"))
+    dealt = full.repartitionById(count, "place").sortWithinPartitions("place", "host", "path", "id", F.xxhash64("html"))
     kind = dict(pages.dtypes)["page_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
