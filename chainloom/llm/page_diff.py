@@ -114,7 +114,7 @@ def lines(page: str | None) -> list[tuple[str, int]]:
                     state = stack.pop()[1]
                 kind = _kind(name, position[3] or "")
                 inner = -1 if state == -1 or kind == -1 else max(state, kind)
-                if inner != state or name in _BLOCK:
+                if inner != state or name in _BLOCK or any(open_ == name for open_, _ in stack):
                     if inner != state:
                         flush()
                     stack.append((name, state))

@@ -37,6 +37,10 @@ def test_article_of_marked_up_page():
     assert main_text(lines(page), []) == "Ti&tle\nOne <two>\nThree four\ncafé — &"
 
 
+def test_inline_elements_close_in_order():
+    assert main_text(lines('<main><p>a <span class="ad">b <span>c</span> d</span> e</p></main>'), []) == "a\ne"
+
+
 def page(k, body):
     return f"<html><body><div>Site name</div><div>Menu of the site</div>{body}<div>All rights</div></body></html>", f"http://h.example/en/{k}"
 
