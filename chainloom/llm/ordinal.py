@@ -20,7 +20,7 @@ from chainloom.llm import scratch, words
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 12_000, 1 << 16
 #: A feature must lie in so many sampled documents, with a grade's share there so many standard errors from its share
 #: in all; features are hashed to this many bits.
-LEAST_DOCUMENTS, LEAST_SIGNAL, HASH_BITS = 5, 5.0, 26
+LEAST_DOCUMENTS, LEAST_SIGNAL, HASH_BITS = 3, 5.0, 26
 #: Probability of the best grade below which a document is rejected.
 LEAST_TAIL = 0.5
 _SHAPE_SALT = np.uint64(0x5851F42D4C957F2D)
