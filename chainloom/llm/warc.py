@@ -131,18 +131,20 @@ def revisits(manifest: DataFrame, least: int) -> DataFrame:
     return copies.join(first, "payload_digest").where(mine != F.col("first")).select("archive", "number", F.col("first.page_id").alias("refers_to"))
 
 
-def normalise(archives: DataFrame, where: str) -> DataFrame:
-    """Rewrite archives (archive, numbers, refers) member by member: archive, normalised, sidecar, records, bytes."""
+def normalise(archives: DataFrame, streams: str, where: str) -> DataFrame:
+    """Rewrite archives (archive, numbers, refers) of folder ``streams`` member by member into folder ``where``: archive,
+    normalised, sidecar, records, bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
-        fs, root = _open(where)
+        (source_fs, source_root), (fs, root) = _open(streams), _open(where)
+        fs.create_dir(root, recursive=True)
         for batch in batches:
             for row in batch.to_pylist():
                 refers = dict(zip(row["numbers"] or [], row["refers"] or [], strict=True))
                 stem = f"{row['archive'].removesuffix('.warc.gz')}-members-{attempt}"
                 offset, lines = 0, []
-                with fs.open_input_stream(f"{root}/{row['archive']}", compression=None) as source, fs.open_output_stream(f"{root}/{stem}.warc.gz", compression=None) as out:
+                with source_fs.open_input_stream(f"{source_root}/{row['archive']}", compression=None) as source, fs.open_output_stream(f"{root}/{stem}.warc.gz", compression=None) as out:
                     for number, raw in enumerate(records_of_stream(source)):
                         if number in refers:
                             headers, _ = parse(raw)
@@ -204,15 +206,13 @@ def round_trip(pages: DataFrame, least: int = 0, payloads: bool = False) -> Data
     empty table has no archives and no rows. Further columns of ``pages`` are not read.
     """
     spark = pages.sparkSession
-    where = scratch.folder(spark, "warc")
+    raw, where = scratch.folder(spark, "warc-streams"), scratch.folder(spark, "warc")
     kind = dict(pages.dtypes)["page_id"]
-    manifest = scratch.keep(write_archives(pages, where), "warc-manifest")
+    manifest = scratch.keep(write_archives(pages, raw), "warc-manifest")
     again = revisits(manifest, least).groupBy("archive").agg(F.collect_list(F.struct("number", "refers_to")).alias("r"))
     again = again.select("archive", F.col("r.number").alias("numbers"), F.col("r.refers_to").alias("refers"))
     archives = manifest.groupBy("archive").agg(F.sum("payload_bytes").alias("size")).join(again, "archive", "left")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
-    files = scratch.keep(normalise(archives.select("archive", "numbers", "refers").repartition(tasks), where), "warc-index")
-    for row in manifest.select("archive").distinct().toLocalIterator():  # the whole-file streams are no longer needed
-        fs, root = _open(where)
-        fs.delete_file(f"{root}/{row['archive']}")
+    files = scratch.keep(normalise(archives.select("archive", "numbers", "refers").repartition(tasks), raw, where), "warc-index")
+    scratch.remove(spark, raw)  # the index is committed: the whole-file streams are no longer needed
     return read_members(files.repartition(tasks), where, kind, payloads)
