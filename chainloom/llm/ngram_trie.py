@@ -264,20 +264,24 @@ def _count(docs: DataFrame, trie: Trie | None, number: int, buckets: int) -> Dat
                     if hi > lo:
                         for name, value in (("bucket", int(bucket[lo])), ("keys", _squeeze(keys[lo:hi])), ("counts", zstandard.compress(counts[lo:hi].astype(np.uint32).tobytes(), 1))):
                             out[name].append(value)
-                yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+                yield pa.RecordBatch.from_pydict(out, schema=_COUNTED)
 
     return docs.select("text").mapInArrow(run, "bucket int, keys binary, counts binary")
 
 
+_COUNTED = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 _MANIFEST = "bucket int, path string, first_key bigint, nodes bigint, tokens bigint, ends array<struct<context:bigint,total:bigint,kept:bigint,mass:bigint>>"
 
 
-def _build(counted: DataFrame, trie: Trie | None, number: int, last: bool, cutoff: int, discount: float, where: str) -> DataFrame:
-    """Merge each bucket's counts and write its file; a manifest row for each."""
+def _build(counted: DataFrame, trie: Trie | None, number: int, last: bool, cutoff: int, discount: float, where: str, buckets: int) -> DataFrame:
+    """Merge each bucket's counts, one bucket in a task, and write its file; a manifest row for each."""
     shared = counted.sparkSession.sparkContext.broadcast(trie)
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        own, bucket = shared.value, key[0].as_py()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, schema=_COUNTED)
+        if not table.num_rows:
+            return
+        own, bucket = shared.value, table["bucket"][0].as_py()
         keys = np.concatenate([_spread(b.as_py()) for b in table["keys"]])
         counts = np.concatenate([np.frombuffer(zstandard.decompress(b.as_py()), dtype=np.uint32) for b in table["counts"]])
         order = np.argsort(keys, kind="stable")
@@ -317,9 +321,9 @@ def _build(counted: DataFrame, trie: Trie | None, number: int, last: bool, cutof
         path = f"{where}/level{number}-{bucket:06d}-{TaskContext.get().taskAttemptId()}.trie"
         write_arrays(path, meta, arrays)
         row = {"bucket": bucket, "path": path, "first_key": int(np.array([first_key], dtype=U64).view(np.int64)[0]), "nodes": len(keys), "tokens": n_tokens, "ends": ends}
-        return pa.Table.from_pylist([row], schema=pa.schema([("bucket", pa.int32()), ("path", pa.string()), ("first_key", pa.int64()), ("nodes", pa.int64()), ("tokens", pa.int64()), ("ends", pa.list_(pa.struct([(k, pa.int64()) for k in ("context", "total", "kept", "mass")])))]))
+        yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("bucket", pa.int32()), ("path", pa.string()), ("first_key", pa.int64()), ("nodes", pa.int64()), ("tokens", pa.int64()), ("ends", pa.list_(pa.struct([(k, pa.int64()) for k in ("context", "total", "kept", "mass")])))]))
 
-    return counted.groupBy("bucket").applyInArrow(run, _MANIFEST)
+    return counted.repartitionById(buckets, "bucket").mapInArrow(run, _MANIFEST)
 
 
 def train(docs: DataFrame, order: int = ORDER, cutoffs: tuple[int, ...] = CUTOFFS, discounts: tuple[float, ...] = DISCOUNTS, bucket_tokens: int = BUCKET_TOKENS) -> Trie:
@@ -336,7 +340,7 @@ def train(docs: DataFrame, order: int = ORDER, cutoffs: tuple[int, ...] = CUTOFF
     trie: Trie | None = None
     for number in range(1, order + 1):
         counted = _count(docs, trie, number, buckets)
-        manifest = _build(counted, trie, number, number == order, cutoffs[number - 1], discounts[number - 1], where)
+        manifest = _build(counted, trie, number, number == order, cutoffs[number - 1], discounts[number - 1], where, buckets)
         rows = sorted((r.asDict(recursive=True) for r in manifest.collect()), key=lambda r: r["bucket"])  # one for each bucket
         parts: dict[int, list[dict]] = {}
         for r in rows:
