@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chainloom.llm import ordinal, tokenizer
@@ -60,3 +61,17 @@ def test_stages_keep_columns_and_stand_empty_tables(spark, tmp_path):
         assert stage(spark, docs, where).columns == docs.columns, name
         assert stage(spark, docs.limit(0), where).count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), where).count() == 0
+
+
+def test_stages_stand_odd_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "some plain words of a text that is fine", "en", None, None), (1, "some plain words of a text that is fine", "en", None, None), (2, None, None, "s", 0), (None, "words without an id", "en", "s", 3), (3, "", "en", "s", 0), (4, "long " * 50000, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, schema).withColumns({c: F.lit(7) for c in ("c0", "text__", "kept", "p_good", "mark", "mark0", "ids", "part", "item_id")})
+    spark.createDataFrame([(1, 1, 0), (None, 1, 1), (2, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, None), (None, "x"), (2, "far too short")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    where = f"file://{tmp_path}"
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, where)
+        assert got.columns == docs.columns and got.dtypes == docs.dtypes, name
+        assert got.count() == (5 if name == "near_dedup" else 6), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, where).select("doc_id").distinct().count() == 5
