@@ -22,6 +22,56 @@ NOISE = (
     "Historical sync detected", "Error 9007", "Write conflict", "Error 1213", "Deadlock found", "SLOW QUERY", "slow SQL",
 )
 
+_WARNED, _FAILED = ("Warning:", "[WARNING]"), ("Error:", "[ERROR]", "failed")
+# Fixed: rules for log lines, the first that holds counts. A line must have one part of the first group and, where there
+# is a second, one of that too; then kind, component and operation, or nothing for lines that are no errors.
+LOG_RULES = (
+    (("Error 1452", "foreign key constraint"), (), ("Constraint", "Database", "ForeignKey")),
+    (("Error 1062", "Duplicate entry"), (), None),
+    (("SLOW SQL", "slow query"), (), ("Slow Query", "Database", "SlowQuery")),
+    (("failed to process",), (), ("Processing", "Processor", "ProcessBlock")),
+    (_WARNED, ("failed to find existing transaction",), ("Warning", "Transaction", "Lookup")),
+    (_WARNED, ("Historical reference",), ("Warning", "Transaction", "HistoricalRef")),
+    (_WARNED, (), ("Warning", "General", "Warning")),
+    (_FAILED, ("BlockFetch",), ("Processing", "BlockFetch", "Fetch")),
+    (_FAILED, ("ChainSync",), ("Processing", "ChainSync", "Sync")),
+    (_FAILED, ("connection",), ("Processing", "Network", "Connection")),
+    (_FAILED, ("transaction",), ("Processing", "Transaction", "Process")),
+    (_FAILED, ("block",), ("Processing", "Block", "Process")),
+    (_FAILED, (), ("Processing", "General", "Error")),
+    (("constraint",), (), ("Constraint", "Database", "Constraint")),
+    (("deadlock",), (), ("Database", "Database", "Deadlock")),
+    (("connection refused", "connection reset"), (), ("Network", "Network", "Connection")),
+    (("timeout",), (), ("Network", "Network", "Timeout")),
+)
+# Fixed: kinds of a processor's errors by parts of their text; others are of kind Processing.
+KIND_RULES = (
+    (("foreign key", "duplicate", "constraint"), (), "Constraint"),
+    (("connection", "timeout"), (), "Network"),
+    (("validation",), (), "Validation"),
+)
+_PACKETS, _CONNECTION, _WAIT = ("packets.go",), ("connection.go",), ("timeout",)
+# Fixed: rules for a database driver's lines in lower case: component, operation, kind and message; no message: the line.
+DRIVER_RULES = (
+    (_PACKETS, ("unexpected seq nr",), ("MySQL.Packets", "SequenceError", "Network", "Packet sequence number mismatch")),
+    (_PACKETS, ("unexpected eof",), ("MySQL.Packets", "EOFError", "Network", "Unexpected EOF while reading packet")),
+    (_PACKETS, ("packets out of order",), ("MySQL.Packets", "PacketOrder", "Network", "Packets received out of order")),
+    (_PACKETS, (), ("MySQL.Packets", "Unknown", "Database", None)),
+    (_CONNECTION, ("busy buffer",), ("MySQL.Connection", "BusyBuffer", "Network", "Connection buffer busy - possible protocol desync")),
+    (_CONNECTION, ("bad connection",), ("MySQL.Connection", "BadConnection", "Network", "Connection in bad state")),
+    (_CONNECTION, ("connection reset",), ("MySQL.Connection", "ConnectionReset", "Network", "Connection reset by peer")),
+    (_CONNECTION, (), ("MySQL.Connection", "Unknown", "Database", None)),
+    (("commands out of sync",), (), ("MySQL.Protocol", "CommandSync", "Database", "Commands out of sync - protocol error")),
+    (("broken pipe",), (), ("MySQL.Network", "BrokenPipe", "Network", "Connection lost (broken pipe)")),
+    (("connection refused",), (), ("MySQL.Network", "ConnectionRefused", "Network", "Connection refused by MySQL server")),
+    (_WAIT, ("i/o timeout",), ("MySQL.Network", "Timeout", "Network", "Network I/O timeout")),
+    (_WAIT, ("read timeout",), ("MySQL.Network", "Timeout", "Network", "Read timeout exceeded")),
+    (_WAIT, ("write timeout",), ("MySQL.Network", "Timeout", "Network", "Write timeout exceeded")),
+    (_WAIT, (), ("MySQL.Network", "Timeout", "Network", "Connection timeout")),
+    (("too many connections",), (), ("MySQL.Connection", "ConnectionLimit", "Database", "Maximum connection limit reached")),
+    (("deadlock",), (), ("MySQL.Transaction", "Deadlock", "Database", "Transaction deadlock detected")),
+    (("",), (), ("MySQL", "Unknown", "Database", None)),
+)
 
 def any_of(text: Column, parts: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, (F.contains(text, F.lit(p)) for p in parts))
@@ -49,37 +99,20 @@ def is_noise(kind: Column, component: Column, operation: Column, message: Column
     return reduce(lambda a, b: a | b, compound, any_of(message, NOISE))
 
 
-def _first(rules: list[tuple[Column, Column]], otherwise: Column) -> Column:
-    """The value of the first rule that holds."""
-    out = otherwise
-    for holds, value in reversed(rules):
-        out = F.when(holds, value).otherwise(out)
+def by_rules(text: Column, rules, value) -> Column:
+    """``value(result)`` of the first rule whose groups the text meets; null if it meets none."""
+    out = None
+    for first, second, result in rules:
+        holds = any_of(text, first) & any_of(text, second) if second else any_of(text, first)
+        out = F.when(holds, value(result)) if out is None else out.when(holds, value(result))
     return out
 
 
-def _result(kind: str, component: str, operation: str) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), F.lit(component).alias("component"), F.lit(operation).alias("operation"))
-
-
 def parse_log(line: Column) -> Column:
-    """Struct of kind, component and operation by the first rule that a log line meets; null if it is no error."""
-    has = lambda *parts: any_of(line, parts)
+    """Struct of kind, component and operation of a log line; null if it is no error."""
+    names = ("kind", "component", "operation")
     nothing = F.lit(None).cast("struct<kind:string,component:string,operation:string>")
-    warning = _first([(has("failed to find existing transaction"), _result("Warning", "Transaction", "Lookup")), (has("Historical reference"), _result("Warning", "Transaction", "HistoricalRef"))], _result("Warning", "General", "Warning"))
-    failure = _first([(has(word), _result("Processing", *to)) for word, to in (("BlockFetch", ("BlockFetch", "Fetch")), ("ChainSync", ("ChainSync", "Sync")), ("connection", ("Network", "Connection")), ("transaction", ("Transaction", "Process")), ("block", ("Block", "Process")))], _result("Processing", "General", "Error"))
-    rules = [
-        (has("Error 1452", "foreign key constraint"), _result("Constraint", "Database", "ForeignKey")),
-        (has("Error 1062", "Duplicate entry"), nothing),
-        (has("SLOW SQL", "slow query"), _result("Slow Query", "Database", "SlowQuery")),
-        (has("failed to process"), _result("Processing", "Processor", "ProcessBlock")),
-        (has("Warning:", "[WARNING]"), warning),
-        (has("Error:", "[ERROR]", "failed"), failure),
-        (has("constraint"), _result("Constraint", "Database", "Constraint")),
-        (has("deadlock"), _result("Database", "Database", "Deadlock")),
-        (has("connection refused", "connection reset"), _result("Network", "Network", "Connection")),
-        (has("timeout"), _result("Network", "Network", "Timeout")),
-    ]
-    return _first(rules, nothing)
+    return by_rules(line, LOG_RULES, lambda r: F.struct(*[F.lit(x).alias(n) for n, x in zip(names, r, strict=True)]) if r else nothing)
 
 
 def without_stamp(line: Column) -> Column:
@@ -90,36 +123,16 @@ def without_stamp(line: Column) -> Column:
 
 def error_kind(message: Column) -> Column:
     """Kind of a processor's error by its text."""
-    has = lambda part: F.contains(message, F.lit(part))
-    rules = [(has("foreign key"), "Constraint"), (has("duplicate"), "Constraint"), (has("constraint"), "Constraint"), (has("connection"), "Network"), (has("timeout"), "Network"), (has("validation"), "Validation")]
-    return _first([(c, F.lit(v)) for c, v in rules], F.lit("Processing"))
+    return F.coalesce(by_rules(message, KIND_RULES, F.lit), F.lit("Processing"))
 
 
 def driver_error(line: Column) -> Column:
-    """Struct of component, operation, kind and text of a database driver's line; ordered rules on its lower case."""
-    low = F.lower(line)
-    has = lambda part: F.contains(low, F.lit(part))
-
-    def result(component: str, operation: str, kind: str, text: Column | str) -> Column:
-        return F.struct(F.lit(component).alias("component"), F.lit(operation).alias("operation"), F.lit(kind).alias("kind"), (F.lit(text) if isinstance(text, str) else text).alias("message"))
-
-    own = clean(line)
-    got, want = F.regexp_extract(line, r"got (\S+) want (\S+)", 1), F.regexp_extract(line, r"got (\S+) want (\S+)", 2)
-    numbers = F.when(got != "", F.concat(F.lit("Packet sequence mismatch: got "), got, F.lit(" want "), want)).otherwise("Packet sequence number mismatch")
-    packets = _first([(has("unexpected seq nr"), result("MySQL.Packets", "SequenceError", "Network", numbers)), (has("unexpected eof"), result("MySQL.Packets", "EOFError", "Network", "Unexpected EOF while reading packet")), (has("packets out of order"), result("MySQL.Packets", "PacketOrder", "Network", "Packets received out of order"))], result("MySQL.Packets", "Unknown", "Database", own))
-    connection = _first([(has("busy buffer"), result("MySQL.Connection", "BusyBuffer", "Network", "Connection buffer busy - possible protocol desync")), (has("bad connection"), result("MySQL.Connection", "BadConnection", "Network", "Connection in bad state")), (has("connection reset"), result("MySQL.Connection", "ConnectionReset", "Network", "Connection reset by peer"))], result("MySQL.Connection", "Unknown", "Database", own))
-    wait = _first([(has("i/o timeout"), F.lit("Network I/O timeout")), (has("read timeout"), F.lit("Read timeout exceeded")), (has("write timeout"), F.lit("Write timeout exceeded"))], F.lit("Connection timeout"))
-    rules = [
-        (has("packets.go"), packets),
-        (has("connection.go"), connection),
-        (has("commands out of sync"), result("MySQL.Protocol", "CommandSync", "Database", "Commands out of sync - protocol error")),
-        (has("broken pipe"), result("MySQL.Network", "BrokenPipe", "Network", "Connection lost (broken pipe)")),
-        (has("connection refused"), result("MySQL.Network", "ConnectionRefused", "Network", "Connection refused by MySQL server")),
-        (has("timeout"), result("MySQL.Network", "Timeout", "Network", wait)),
-        (has("too many connections"), result("MySQL.Connection", "ConnectionLimit", "Database", "Maximum connection limit reached")),
-        (has("deadlock"), result("MySQL.Transaction", "Deadlock", "Database", "Transaction deadlock detected")),
-    ]
-    return _first(rules, result("MySQL", "Unknown", "Database", own))
+    """Struct of component, operation, kind and message of a database driver's line, with the numbers of lost packets."""
+    names = ("component", "operation", "kind", "message")
+    found = by_rules(F.lower(line), DRIVER_RULES, lambda r: F.struct(*[F.lit(x).cast("string").alias(n) for n, x in zip(names, r, strict=True)]))
+    got, want = (F.regexp_extract(line, r"got (\S+) want (\S+)", k) for k in (1, 2))
+    numbers = F.when((found["operation"] == "SequenceError") & (got != ""), F.concat(F.lit("Packet sequence mismatch: got "), got, F.lit(" want "), want))
+    return found.withField("message", F.coalesce(numbers, found["message"], clean(line)))
 
 
 def clean(line: Column) -> Column:
