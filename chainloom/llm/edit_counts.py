@@ -23,20 +23,44 @@ _PIECE = regex.compile(tokenizer.PATTERN)
 class CountTree:
     """Characters and tokens of a text's pre-tokens, summed over a binary tree of leaves."""
 
-    def __init__(self, text: str, count, leaf: int = LEAF):
+    def __init__(self, text: str, count, leaf: int = LEAF, kept: list[tuple[int, int]] | None = None):
+        """``kept``: characters and tokens of each leaf of the text's tree, of which no pre-token is encoded until an
+        edit touches its leaf; without it all are."""
         self.text, self.count = text, count
-        pieces = _PIECE.findall(text)
-        sizes = list(map(len, pieces))
-        tokens = list(map(count, pieces))
-        self.encoded = 0  # pre-tokens encoded again since the tree was built
-        self.leaves = [(sizes[k : k + leaf], tokens[k : k + leaf]) for k in range(0, len(sizes), leaf)] or [([], [])]
+        self.encoded = 0  # pre-tokens encoded since the tree was built
+        self.leaves: list[tuple[list[int], list[int]] | None]
+        if kept is None:
+            pieces = _PIECE.findall(text)
+            sizes = list(map(len, pieces))
+            tokens = list(map(count, pieces))
+            self.leaves = [(sizes[k : k + leaf], tokens[k : k + leaf]) for k in range(0, len(sizes), leaf)] or [([], [])]
+            kept = [(sum(s), sum(t)) for s, t in self.leaves]
+        else:
+            kept = kept or [(0, 0)]
+            self.leaves = [None] * len(kept)
         self.width = 1 << (len(self.leaves) - 1).bit_length()
         self.sums = [(0, 0)] * (2 * self.width)
-        for k, (s, t) in enumerate(self.leaves):
-            self.sums[self.width + k] = (sum(s), sum(t))
+        self.sums[self.width : self.width + len(kept)] = kept
         for k in range(self.width - 1, 0, -1):
             self.sums[k] = self._both(k)
 
+    def leaf_sums(self) -> list[tuple[int, int]]:
+        """Characters and tokens of each leaf: what has to be kept of the tree beside the text."""
+        return [tuple(self.sums[self.width + k]) for k in range(len(self.leaves))]
+
+    def _leaf(self, k: int, begin: int) -> tuple[list[int], list[int]]:
+        """Pre-tokens of a leaf that begins at ``begin``, which is a boundary of pre-tokens whatever lies before it."""
+        if self.leaves[k] is None:
+            sizes, tokens, end = [], [], begin + self.sums[self.width + k][0]
+            while begin < end:
+                match = _PIECE.match(self.text, begin)
+                sizes.append(match.end() - begin)
+                tokens.append(self.count(match.group()))
+                begin = match.end()
+            self.encoded += len(sizes)
+            self.leaves[k] = (sizes, tokens)
+        return self.leaves[k]
+
     def _both(self, k: int) -> tuple[int, int]:
         a, b = self.sums[2 * k], self.sums[2 * k + 1]
         return a[0] + b[0], a[1] + b[1]
@@ -64,22 +88,28 @@ class CountTree:
         while first and begin > max(start - 2, 0):
             first -= 1
             begin -= self.sums[self.width + first][0]
-        sizes, tokens = self.leaves[first]
+        sizes, tokens = self._leaf(first, begin)
         at, keep = begin, 0
         while keep < len(sizes) and at + sizes[keep] <= start - 2:
             at += sizes[keep]
             keep += 1
+        # leaves that old boundaries up to the first one behind the edit can lie in, while the old text is there
+        reach, k = begin + self.sums[self.width + first][0], first + 1
+        while k < len(self.leaves) and reach <= end + 2:
+            self._leaf(k, reach)
+            reach, k = reach + self.sums[self.width + k][0], k + 1
         self.text = self.text[:start] + new + self.text[end:]
         shift = len(new) - (end - start)
-        # old boundaries from the first kept one on, and the leaf and place of each
-        leaf, place, old = first, keep, at
+        leaf, place, old, leaf_begin = first, keep, at, begin
         fresh_sizes, fresh_tokens, here = sizes[:keep], tokens[:keep], at
         while True:
             while leaf < len(self.leaves) and (old < end or old + shift < here):
-                if place < len(self.leaves[leaf][0]):
-                    old += self.leaves[leaf][0][place]
+                own = self._leaf(leaf, leaf_begin + (shift if leaf_begin >= end else 0))[0]
+                if place < len(own):
+                    old += own[place]
                     place += 1
                 else:
+                    leaf_begin += self.sums[self.width + leaf][0]
                     leaf, place = leaf + 1, 0
             if old >= end and old + shift == here:
                 break
@@ -90,11 +120,13 @@ class CountTree:
             fresh_tokens.append(self.count(match.group()))
             here = match.end()
             self.encoded += 1
-        if leaf < len(self.leaves):
-            rest_sizes, rest_tokens = self.leaves[leaf][0][place:], self.leaves[leaf][1][place:]
-        else:
-            rest_sizes, rest_tokens = [], []
-        last = min(leaf, len(self.leaves) - 1)
+        rest_sizes, rest_tokens = [], []
+        if leaf < len(self.leaves) and (place or leaf == first):
+            own = self._leaf(leaf, leaf_begin + (shift if leaf_begin >= end else 0))
+            rest_sizes, rest_tokens = own[0][place:], own[1][place:]
+            last = leaf
+        else:  # the next leaf begins where old and new meet: it stays as it is
+            last = leaf - 1
         if last > first:
             self.leaves[last] = (rest_sizes, rest_tokens)
         else:
@@ -149,6 +181,49 @@ def with_mask_edits(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, text string, edits array<struct<start:int,end:int,new:string>>")
 
 
+def keep_trees(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF) -> DataFrame:
+    """doc_id, leaf_chars and leaf_tokens of every row: the trees of the texts, to be kept beside them."""
+    vocabulary = vocabulary or tokenizer.default_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = tokenizer.load(vocabulary).count
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                sums = [CountTree(text or "", count, leaf).leaf_sums() for text in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([[x[c] for x in s] for s in sums], type=pa.list_(pa.int32())) for c in (0, 1))], names=["doc_id", "leaf_chars", "leaf_tokens"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, leaf_chars array<int>, leaf_tokens array<int>")
+
+
+def recount(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, n_encoded and the edited text with its tree, from kept trees.
+
+    ``docs`` has doc_id, text, edits, leaf_chars and leaf_tokens; only leaves that edits touch are encoded. A null tree
+    is built anew.
+    """
+    vocabulary = vocabulary or tokenizer.default_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = tokenizer.load(vocabulary).count
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                out: list[tuple] = []
+                for text, edits, chars, tokens in zip(*(part.column(k).to_pylist() for k in range(1, 5)), strict=True):
+                    kept = None if chars is None or tokens is None else list(zip(chars, tokens, strict=True))
+                    tree = CountTree(text or "", count, LEAF, kept)
+                    tree.edit_all([(e["start"] or 0, e["end"] or 0, e["new"] or "") for e in edits or [] if e])
+                    sums = tree.leaf_sums()
+                    out.append((tree.tokens, tree.encoded, tree.text, [c for c, _ in sums], [t for _, t in sums]))
+                columns = [list(c) for c in zip(*out, strict=True)]
+                kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True))], names=["doc_id", "n_tokens", "n_encoded", "text", "leaf_chars", "leaf_tokens"])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", "text", "edits", "leaf_chars", "leaf_tokens").mapInArrow(run, f"doc_id {kind}, n_tokens bigint, n_encoded bigint, text string, leaf_chars array<int>, leaf_tokens array<int>")
+
+
 def count_edited(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF, with_text: bool = False) -> DataFrame:
     """doc_id, n_pretokens, n_tokens, n_edits, n_encoded, n_tokens_edited, n_chars_edited (and text_edited if asked for).
 

@@ -1,9 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from chainloom.llm import tokenizer
-from chainloom.llm.edit_counts import CountTree, count_edited, with_mask_edits
+from chainloom.llm.edit_counts import CountTree, count_edited, keep_trees, recount, with_mask_edits
 
 ALPHABET = ["a", "B", " ", "  ", "\n", "'s", "'re", "'", "9", "é", "ñandú", "!!", "\t ", "word", "<email>", "中文", " "]
 
@@ -28,6 +29,33 @@ def test_edits_equal_a_fresh_count(leaf):
             assert sum(sum(s) for s, _ in tree.leaves) == len(tree.text) == tree.sums[1][0]
 
 
+@pytest.mark.parametrize("leaf", [1, 2, 5])
+def test_edits_of_kept_trees_equal_a_fresh_count(leaf):
+    count = tokenizer.load(tokenizer.default_path()).count
+    rng = random.Random(70 + leaf)
+    for _ in range(200):
+        text = "".join(rng.choice(ALPHABET) for _ in range(rng.randrange(0, 60)))
+        tree = CountTree(text, count, leaf, CountTree(text, count, leaf).leaf_sums())
+        assert tree.encoded == 0 and tree.tokens == brute(text)
+        for _ in range(5):
+            a = rng.randrange(0, len(tree.text) + 1)
+            b = min(len(tree.text), a + rng.choice([0, 1, 2, 15]))
+            tree.edit(a, b, "".join(rng.choice(ALPHABET) for _ in range(rng.randrange(0, 4))))
+            assert tree.tokens == brute(tree.text) and tree.sums[1][0] == len(tree.text)
+        again = CountTree(tree.text, count, leaf, tree.leaf_sums())
+        again.edit(0, len(tree.text) // 2, "x ")
+        assert again.tokens == brute(again.text)
+
+
+def test_kept_trees_as_tables(spark):
+    text = "some words here and there " * 4000
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "short 12 (555) 123-4567")], "doc_id long, text string")
+    edits = with_mask_edits(docs).withColumn("edits", F.when(F.col("doc_id") == 1, F.array(F.struct(F.lit(50000).alias("start"), F.lit(50005).alias("end"), F.lit("changed").alias("new")))).otherwise(F.col("edits")))
+    got = {r["doc_id"]: r for r in recount(edits.join(keep_trees(docs), "doc_id")).collect()}
+    assert all(r["n_tokens"] == brute(r["text"]) == sum(r["leaf_tokens"]) for r in got.values())
+    assert got[1]["n_encoded"] < 300 and got[1]["text"][50000:50007] == "changed"
+
+
 def test_an_edit_leaves_most_pretokens_alone():
     count = tokenizer.load(tokenizer.default_path()).count
     tree = CountTree("some words here and there " * 2000, count)
