@@ -207,32 +207,36 @@ class Trie:
     def walk(self, hashed: np.ndarray, first: np.ndarray, upto: int, score: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Nodes of level ``upto`` that end at each token (-1: none), the words' ids and counts, log10 probabilities."""
         unique, inverse = np.unique(hashed, return_inverse=True)
-        node, _ = self.levels[0].find(unique, 0)
+        ids, _ = self.levels[0].find(unique, 0)
         count = np.zeros(len(unique), dtype=np.int64)
-        known = np.flatnonzero(node >= 0)
-        count[known] = self.levels[0].counts(node[known])[1]  # hashes are in order, and so are their ids
-        word, count = node[inverse], count[inverse]
-        p = (count + 1.0) / (self.total + self.width + 1.0)
-        node = word
+        known = np.flatnonzero(ids >= 0)
+        count[known] = self.levels[0].counts(ids[known])[1]  # hashes are in order, and so are their ids
+        word, count = ids[inverse], count[inverse]
+        p = (count + 1.0) / (self.total + self.width + 1.0) if score else np.zeros(0)
         starts = np.zeros(len(hashed), dtype=bool)
         starts[first[:-1][first[:-1] < len(hashed)]] = True
+        # the level's distinct nodes in order (-1: not in the trie), and which of them ends at each token (-1: none)
+        nodes, place = ids, inverse
         for level in self.levels[1:upto]:
-            context = np.concatenate([[-1], node[:-1]])
-            context[starts] = -1
+            before = np.concatenate([[-1], place[:-1]])
+            before[starts] = -1
+            context = np.where(before >= 0, nodes[before], -1)
             open_ = (context >= 0) & (word >= 0)
-            if score and len(held := np.flatnonzero(context >= 0)):
-                some, back = np.unique(context[held], return_inverse=True)
-                weight, parent = level.weights(some, self.width)
-                p[held] *= weight[back]
-                open_[held] &= parent[back]
+            if score:
+                held = np.flatnonzero(nodes >= 0)
+                weight, parent = np.ones(len(nodes)), np.zeros(len(nodes), dtype=bool)
+                weight[held], parent[held] = level.weights(nodes[held], self.width)
+                inside = np.flatnonzero(context >= 0)
+                p[inside] *= weight[before[inside]]
+                open_[inside] &= parent[before[inside]]
             both = np.flatnonzero(open_)
             keys, back = np.unique(context[both].astype(U64) * U64(self.width) + word[both].astype(U64), return_inverse=True)
-            found, alpha = level.find(keys, self.width, score)
-            node = np.full(len(hashed), -1, dtype=np.int64)
-            node[both] = found[back]
+            nodes, alpha = level.find(keys, self.width, score)
+            place = np.full(len(hashed), -1, dtype=np.int64)
+            place[both] = back
             if score:
                 p[both] += alpha[back]
-        return node, word, count, np.log10(p) if score else p
+        return np.where(place >= 0, nodes[place], -1) if len(nodes) else place, word, count, np.log10(p) if score else p
 
 
 def _count(docs: DataFrame, trie: Trie | None, number: int, buckets: int) -> DataFrame:
@@ -254,9 +258,9 @@ def _count(docs: DataFrame, trie: Trie | None, number: int, buckets: int) -> Dat
                     both = context >= 0
                     keys, counts = np.unique(context[both].astype(U64) * U64(own.width) + word[both].astype(U64), return_counts=True)
                     context, word = (keys // U64(own.width)).astype(np.int64), (keys % U64(own.width)).astype(np.float64)
-                    nodes, back = np.unique(context, return_inverse=True)
-                    before, size = own.levels[number - 2].counts(nodes)
-                    place = before[back] + size[back] * (word / own.width)
+                    at = np.flatnonzero(np.diff(context, prepend=-1))  # contexts are in order
+                    before, size = (np.repeat(x, np.diff([*at, len(context)])) for x in own.levels[number - 2].counts(context[at]))
+                    place = before + size * (word / own.width)
                     bucket = np.minimum(place * (buckets / own.total), buckets - 1).astype(np.int64)
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
                 out: dict[str, list] = {"bucket": [], "keys": [], "counts": []}
