@@ -22,7 +22,7 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 #: Bytes of text handled at once; a longer text is handled alone.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -42,7 +42,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(n, CHUNK_BYTES).bit_length())
+    return _powers(1 << (max(n, CHUNK_BYTES) - 1).bit_length())
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
