@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm import tokenizer
+from chainloom.llm import scratch, tokenizer
 
 LEAF = 64
 _PIECE = regex.compile(tokenizer.PATTERN)
@@ -158,6 +158,7 @@ MASKS = {
 
 def with_mask_edits(docs: DataFrame) -> DataFrame:
     """Add ``edits``: personal data gives way to its mask, and a text that lacks a final newline gets one."""
+    scratch.ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = [(mask, regex.compile(p)) for mask, p in MASKS.items()]
@@ -183,6 +184,7 @@ def with_mask_edits(docs: DataFrame) -> DataFrame:
 
 def keep_trees(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF) -> DataFrame:
     """doc_id, leaf_chars and leaf_tokens of every row: the trees of the texts, to be kept beside them."""
+    scratch.ship(docs.sparkSession)
     vocabulary = vocabulary or tokenizer.default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +204,7 @@ def recount(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     ``docs`` has doc_id, text, edits, leaf_chars and leaf_tokens; only leaves that edits touch are encoded. A null tree
     is built anew.
     """
+    scratch.ship(docs.sparkSession)
     vocabulary = vocabulary or tokenizer.default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,6 +235,7 @@ def count_edited(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEA
     Every row is counted for itself, repeated ones too; an empty table gives an empty result. A special token's string
     counts as ordinary text.
     """
+    scratch.ship(docs.sparkSession)
     vocabulary = vocabulary or tokenizer.default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -155,6 +155,7 @@ def _featurise(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, n
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Ordinal:
     """Fit on at most ``sample`` rated documents, those with the smallest hash of doc_id."""
+    scratch.ship(docs.sparkSession)
     chosen = grades(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,6 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
 
 def score(docs: DataFrame, model: Ordinal, carry: list[str]) -> DataFrame:
     """Columns ``carry`` of ``docs`` with expected_grade, p_above_toxic and p_good of each whole text."""
+    scratch.ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample's features
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

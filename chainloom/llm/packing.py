@@ -24,6 +24,7 @@ END_ID = 1
 
 def encode_documents(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, part, local_start, n_tokens, ids (binary, little-endian uint32 or, where they fit, uint16)."""
+    scratch.ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer.load(vocabulary)

@@ -203,6 +203,7 @@ def extract(pages: DataFrame) -> DataFrame:
     markup alone. An empty table gives an empty result; other columns of ``pages`` are not read.
     """
     spark = pages.sparkSession
+    scratch.ship(spark)
     link = F.coalesce("url", F.lit(""))
     key = [F.lower(F.regexp_extract(link, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)).alias("host"), F.regexp_extract(link, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1).alias("path")]
     thin = pages.select(*key, F.coalesce("page_id", F.lit(-1)).cast("long").alias("id"))

@@ -17,8 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 _SHIPPED: set[str] = set()
 
 
-def _ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that their tasks can import it."""
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their tasks can import it.
+
+    To be called before functions for tasks are made; operators do so first of all.
+    """
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -40,7 +43,7 @@ def folder(spark: SparkSession, name: str) -> str:
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="chainloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    _ship_package(spark)
+    ship(spark)
     if "://" not in base and base.startswith("/"):
         base = "file://" + base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

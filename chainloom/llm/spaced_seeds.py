@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainloom.llm import words
+from chainloom.llm import scratch, words
 
 #: Fixed masks: 1 is hashed, 0 is ignored. Between two substitutions each leaves a way through.
 MASKS = ("1110110111", "1101110100111", "111111", "1100111001011")
@@ -85,7 +85,7 @@ def passes(length: int, equal: int, item: int) -> bool:
 def matches(block: Block, hashed: np.ndarray) -> dict[int, tuple[int, int, int]]:
     """Items that overlap one document's words: place in block -> (begin, end, equal words) of the longest overlap."""
     found: dict[int, tuple[int, int, int]] = {}
-    seen: dict[tuple[int, int], int] = {}
+    seen: dict[tuple[int, int], list[tuple[int, int]]] = {}
     first = np.array([0, len(hashed)])
     for k, mask in enumerate(block.masks):
         h, at = seeds(hashed, first, mask, k)
@@ -99,14 +99,13 @@ def matches(block: Block, hashed: np.ndarray) -> dict[int, tuple[int, int, int]]
                 begin = int(block.first[item])
                 own = block.words[begin : int(block.first[item + 1])]
                 diagonal = (item, p - (place - begin))
-                if seen.get(diagonal, -1) > p:
-                    continue  # inside a stretch that was compared
+                compared = seen.setdefault(diagonal, [])
+                if any(a <= p < b for a, b in compared):
+                    continue
                 start, stop, equal = overlap(own, hashed, place - begin, p)
-                seen[diagonal] = max(stop, p + 1)
+                compared.append((min(start, p), max(stop, p + 1)))
                 if passes(stop - start, equal, len(own)) and equal > found.get(item, (0, 0, 0))[2]:
                     found[item] = (start, stop, equal)
-    if not len(hashed):
-        return found
     return found
 
 
@@ -150,6 +149,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
     empty result. Only doc_id and text of ``docs`` are read.
     """
     spark: SparkSession = docs.sparkSession
+    scratch.ship(spark)
     kind, item_kind = dict(docs.dtypes)["doc_id"], "bigint"
     schema = f"doc_id {kind}, item_id {item_kind}, first_word bigint, last_word bigint, equal_words bigint, item_words bigint"
     read = docs.select("doc_id", "text")
@@ -174,6 +174,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found, with all their columns."""
+    scratch.ship(docs.sparkSession)
     columns = docs.columns
     names = [f"c{k}" for k in range(len(columns))]
     out = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)))

@@ -86,6 +86,7 @@ def _uri(url: str | None) -> str:
 
 def write_archives(pages: DataFrame, where: str) -> DataFrame:
     """One record per page in whole-file gzip archives: page_id, archive, number, payload_bytes, payload_digest."""
+    scratch.ship(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
