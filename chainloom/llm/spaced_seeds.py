@@ -1,8 +1,8 @@
 """Benchmark passages in documents: spaced seeds, then a check that allows substituted words.
 
 A mask fixes which words of a window are hashed; the others may differ. Windows of benchmark items and of documents
-with equal hashes under a mask give hits, and around each hit the two texts are compared word by word along the
-diagonal. The benchmark is worked off in blocks of bounded size, each against all documents.
+with equal hashes under a mask give hits, and the two texts are compared word by word along the whole diagonal of each
+hit. The benchmark is worked off in blocks of bounded size, each against all documents.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from chainloom.llm import scratch, words
 
-#: Fixed masks: 1 is hashed, 0 is ignored. Between two substitutions each leaves a way through.
-MASKS = ("1110110111", "1101110100111", "111111", "1100111001011")
+#: Fixed masks: 1 is hashed, 0 is ignored. Together they hit every overlap that ``passes`` accepts, wherever its
+#: substitutions lie (the tests count them out).
+MASKS = ("1110110111", "1101110100111", "111111", "1100111001011", "11101011", "1110001011", "1001101011", "101011011", "1100111001")
 #: Words of the benchmark held by a task at once.
 BLOCK_WORDS = 1 << 20
 #: An overlap has so many equal words at least, or all but one in ten of a shorter item's, in a stretch of which at
@@ -62,19 +63,27 @@ def seeds(hashed: np.ndarray, first: np.ndarray, mask: str, number: int) -> tupl
     return words.mix(total[inside]), at[inside]
 
 
-def overlap(a: np.ndarray, b: np.ndarray, i: int, j: int) -> tuple[int, int, int]:
-    """Best stretch through a[i] and b[j] along their diagonal: its begin and end in ``b`` and its equal words.
+def overlaps(a: np.ndarray, b: np.ndarray, shift: int) -> set[tuple[int, int, int]]:
+    """Best stretches where a[i] meets b[i + shift]: begin and end in ``b`` and equal words.
 
-    A stretch scores 1 for an equal and -2 for a different word and grows while it gains, over gaps too.
+    A stretch scores 1 for an equal and -2 for a different word. The best one through each word is taken, so that the
+    result does not depend on which of them a seed has hit.
     """
-    left, right = min(i, j), min(len(a) - i, len(b) - j)
-    same = a[i - left : i + right] == b[j - left : j + right]
-    gains = np.where(same, 1, -2)
-    ahead = np.cumsum(gains[left:])
-    stop = left + int(np.argmax(ahead)) + 1 if len(ahead) and ahead.max() > 0 else left
-    behind = np.cumsum(gains[:left][::-1])
-    start = left - (int(np.argmax(behind)) + 1 if len(behind) and behind.max() > 0 else 0)
-    return j - left + start, j - left + stop, int(same[start:stop].sum())
+    low, high = max(0, -shift), min(len(a), len(b) - shift)
+    same = a[low:high] == b[low + shift : high + shift]
+    if not same.any():
+        return set()
+    n = len(same)
+    sums = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
+    before, equal = sums[:-1], np.concatenate([[0], np.cumsum(same)])
+    # of all begins up to a word the last with the smallest sum before it, of all ends from it on the first with the largest
+    lowest = np.minimum.accumulate(before)
+    start = np.maximum.accumulate(np.where(before == lowest, np.arange(n), 0))
+    backward = sums[1:][::-1]
+    highest = np.maximum.accumulate(backward)
+    stop = n - np.maximum.accumulate(np.where(backward == highest, np.arange(n), 0))[::-1]
+    pairs = np.unique(np.stack([start[same], stop[same]], axis=1), axis=0).tolist()
+    return {(low + shift + x, low + shift + y, int(equal[y] - equal[x])) for x, y in pairs}
 
 
 def passes(length: int, equal: int, item: int) -> bool:
@@ -85,7 +94,7 @@ def passes(length: int, equal: int, item: int) -> bool:
 def matches(block: Block, hashed: np.ndarray) -> dict[int, tuple[int, int, int]]:
     """Items that overlap one document's words: place in block -> (begin, end, equal words) of the longest overlap."""
     found: dict[int, tuple[int, int, int]] = {}
-    seen: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    seen: set[tuple[int, int]] = set()
     first = np.array([0, len(hashed)])
     for k, mask in enumerate(block.masks):
         h, at = seeds(hashed, first, mask, k)
@@ -97,15 +106,14 @@ def matches(block: Block, hashed: np.ndarray) -> dict[int, tuple[int, int, int]]
             for place in block.places[x:y].tolist():
                 item = int(np.searchsorted(block.first, place, side="right")) - 1
                 begin = int(block.first[item])
-                own = block.words[begin : int(block.first[item + 1])]
                 diagonal = (item, p - (place - begin))
-                compared = seen.setdefault(diagonal, [])
-                if any(a <= p < b for a, b in compared):
+                if diagonal in seen:
                     continue
-                start, stop, equal = overlap(own, hashed, place - begin, p)
-                compared.append((min(start, p), max(stop, p + 1)))
-                if passes(stop - start, equal, len(own)) and equal > found.get(item, (0, 0, 0))[2]:
-                    found[item] = (start, stop, equal)
+                seen.add(diagonal)
+                own = block.words[begin : int(block.first[item + 1])]
+                for start, stop, equal in sorted(overlaps(own, hashed, diagonal[1])):
+                    if passes(stop - start, equal, len(own)) and equal > found.get(item, (0, 0, 0))[2]:
+                        found[item] = (start, stop, equal)
     return found
 
 

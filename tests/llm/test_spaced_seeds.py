@@ -1,5 +1,9 @@
+import itertools
 import random
 
+import numpy as np
+import pytest
+
 from chainloom.llm import spaced_seeds as ss
 
 
@@ -64,3 +68,40 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 5]
     assert ss.find_overlaps(docs.limit(0), bench).count() == 0 and ss.find_overlaps(docs, bench.limit(0)).count() == 0
     assert ss.drop_contaminated(docs, bench.limit(0)).count() == 7
+
+
+def accepted(n):
+    """Every choice of substituted words of an item of ``n`` words that ``passes`` accepts, for some stretch."""
+    for k in range(n // 3 + 1):
+        for places in itertools.combinations(range(n), k):
+            doc = np.arange(n, dtype=np.uint64)
+            doc[list(places)] += 1000
+            if any(ss.passes(stop - start, equal, n) for start, stop, equal in ss.overlaps(np.arange(n, dtype=np.uint64), doc, 0)):
+                yield doc
+
+
+@pytest.mark.parametrize("n", range(6, 18))
+def test_every_accepted_pattern_is_found(n):
+    step = ss.words.mix(np.arange(n, dtype=np.uint64))
+    block = ss.Block([(1, step)])
+    for doc in accepted(n):
+        assert 0 in ss.matches(block, ss.words.mix(doc)), doc
+
+
+def test_masks_hit_long_stretches_too():
+    """The fewest substitutions that keep a stretch of so many words from all masks are more than ``passes`` allows."""
+    span = max(map(len, ss.MASKS))
+    state, full = np.arange(1 << span), (1 << span) - 1
+    cost = np.full(1 << span, 10**6)
+    cost[0] = 0
+    for length in range(1, 61):
+        following = np.full(1 << span, 10**6)
+        for equal in (0, 1):
+            np.minimum.at(following, (state << 1 | equal) & full, cost + 1 - equal)
+        for mask in ss.MASKS:
+            pattern = int(mask, 2)
+            following[(state & pattern) == pattern] = 10**6
+        cost = following
+        for item in {length, 60}:
+            most = max((k for k in range(length) if item >= ss.LEAST_ITEM and ss.passes(length, length - k, item)), default=-1)
+            assert cost.min() > most
