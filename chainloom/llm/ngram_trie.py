@@ -36,7 +36,7 @@ from chainloom.llm.elias_fano import EliasFano
 
 U64 = np.uint64
 ORDER = 3
-CUTOFFS = (1, 1, 2)
+CUTOFFS = (1, 1, 1)
 DISCOUNTS = (0.0, 0.9, 0.75)
 #: Tokens in a bucket, and bytes of text whose n-grams are counted or looked up together.
 BUCKET_TOKENS, CHUNK = 4 << 20, 4 << 20

@@ -85,3 +85,19 @@ def test_empty_and_untrained(spark):
     held = next(d for d in range(100) if zlib.crc32(str(d).encode()) % 7 == 2)
     row = score_documents(spark.createDataFrame([(held, "a b")], schema)).first()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["score"]) == (3, 0, 0, 0.0)
+
+
+def test_trigrams_seen_once_count(spark):
+    held = next(d for d in range(100) if zlib.crc32(str(d).encode()) % 7 == 2)
+    other = [d for d in range(100, 200) if zlib.crc32(str(d).encode()) % 7 != 2]
+    rng = random.Random(9)
+    # the bigrams of the passage are frequent in other company, its trigrams are seen once
+    rows = [(d, " ".join(rng.choice("abcdefgh") for _ in range(30))) for d in other]
+    passage = "once one a two b three c four"
+    rows += [(None, t) for t in ("x one a y", "x a two y", "x two b y", "x b three y")]
+    rows += [(None, passage), (held, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in score_documents(docs).collect() if r["doc_id"] is not None}
+    expected = {d: s for d, *_, s in brute(rows, (1, 1, 1), DISCOUNTS) if d is not None}
+    assert all(abs(got[d] - expected[d]) <= 4e-4 * 40 for d in expected)
+    assert expected[held] > {d: s for d, *_, s in brute(rows, (1, 1, 2), DISCOUNTS)}[held] + 0.1
