@@ -1,9 +1,9 @@
 """Main text of pages: each page is set against the page of its host with the nearest URL.
 
 A page is cut into lines, one for each block of text. Lines that a longest common subsequence shares with the
-nearest page are the template's and are deleted, but for lines inside the page's own article element, which two
-copies of one article may share as well. What the markup itself names as something else (menus, footers, forms,
-adverts, comments and so on) is deleted too, shared or not.
+nearest page that is no copy are the template's and are deleted, inside the page's article element as well. What the
+markup itself names as something else (menus, footers, forms, adverts, comments and so on) is deleted too, shared or
+not.
 
 Pages are ordered by (host, path, page_id). A first, thin job over URLs finds the order's ranges and the pages at
 their edges; in the main job each range gets those pages of its neighbours besides its own, so that every page meets
@@ -171,16 +171,22 @@ def shared(a: list[str], b: list[str]) -> set[int]:
 
 
 def main_text(own: list[tuple[str, int]], others: list[list[tuple[str, int]]]) -> str:
-    """Lines of a page without those that its markup or the nearest page that is no copy shows to be template."""
-    texts = [t for t, _ in own]
-    gone: set[int] = set()
+    """Lines of a page without those that its markup or the nearest page that is no copy shows to be template.
+
+    Copies are told by the lines that the markup does not name as something else. A page that meets copies only is
+    judged by its markup alone.
+    """
+    texts, left = [t for t, _ in own], {i for i, (_, k) in enumerate(own) if k >= 0}
     for other in others:
-        same = shared(texts, [t for t, _ in other])
-        if len(same) <= COPY_SHARE * max(1, min(len(own), len(other))) or len(own) == 0:
-            gone = same
-            break
+        theirs = sum(k >= 0 for _, k in other)
+        if not theirs:  # shows nothing
+            continue
+        common = shared([texts[i] for i in sorted(left)], [t for t, k in other if k >= 0])
+        if len(common) <= COPY_SHARE * max(1, min(len(left), theirs)):
+            gone = shared(texts, [t for t, _ in other])
+            return "\n".join(t for i, t in enumerate(texts) if i in left and i not in gone)
     has_article = any(k == 1 for _, k in own)
-    return "\n".join(t for i, (t, k) in enumerate(own) if k == 1 or k == 0 and not has_article and i not in gone)
+    return "\n".join(t for t, k in own if k == 1 or k == 0 and not has_article)
 
 
 def _common(a: tuple, b: tuple) -> int:

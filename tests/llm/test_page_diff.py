@@ -68,3 +68,17 @@ def test_copies_of_an_article_keep_their_text(spark):
     html, _ = page(1, "<article><p>Same words.</p><p>More words.</p></article>")
     pages = spark.createDataFrame([(k, f"http://h.example/{k}", html) for k in range(20)], "page_id long, url string, html string")
     assert {r["text"] for r in extract(pages).collect()} == {"Same words.\nMore words."}
+
+
+def test_shared_lines_inside_the_article_go_and_others_outside_it_stay(spark):
+    rows = []
+    for k in range(12):
+        html, url = page(k, f"<article><p>Body {k} first.</p><p>Read more on this site.</p><p>Body {k} second.</p></article><div><p>Body {k} outside.</p></div>")
+        rows.append((k, url, html))
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Body {k} first.\nBody {k} second.\nBody {k} outside." for k in range(12)}
+
+
+def test_copy_in_another_template_keeps_its_article():
+    own = [("Menu", -1), ("One.", 1), ("Two.", 1), ("Foot", -1)]
+    assert main_text(own, [[("Other menu", -1), ("One.", 1), ("Two.", 1), ("Other foot", -1)], [], [("Foot", -1)], [("Two.", 1), ("Three.", 1)]]) == "One."
