@@ -5,13 +5,17 @@ nearest page that is no copy are the template's and are deleted, inside the page
 markup itself names as something else (menus, footers, forms, adverts, comments and so on) is deleted too, shared or
 not.
 
-Pages are ordered by (host, path, page_id). A first, thin job over URLs finds the order's ranges and the pages at
-their edges; in the main job each range gets those pages of its neighbours besides its own, so that every page meets
-the same neighbours however the ranges fall, and no host, however large, has to fit in one task.
+A line on at least half of the different pages of a host, and on three, is common there. Copies are told by their
+other lines. Pages are ordered by (host, path, page_id, html), and a run of pages that have the same lines, but for
+common ones, counts as one neighbour, however long it is. A first job over marks of lines finds the common lines, the
+order's ranges and the pages at their edges; in the main job each range gets those pages of its neighbours besides its
+own, so that every page meets the same neighbours however the ranges fall, and no host, however large, has to fit in
+one task.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from bisect import bisect_left
@@ -24,10 +28,13 @@ from pyspark.sql import functions as F
 
 from chainloom.llm import scratch
 
-#: Two pages of which more than this share of lines is equal are copies, and the next neighbour is taken.
+#: Two pages of which more than this share of lines, but for the host's common ones, is equal are copies, and the next
+#: neighbour is taken.
 COPY_SHARE = 0.9
-#: Neighbours looked at on each side.
+#: Neighbours (runs of pages) looked at on each side.
 REACH = 2
+#: A line is common on a host from so many different pages and this share of them on.
+COMMON_PAGES, COMMON_SHARE = 3, 0.5
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -170,31 +177,41 @@ def shared(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
-def main_text(own: list[tuple[str, int]], others: list[list[tuple[str, int]]]) -> str:
+def mark(line: str) -> int:
+    return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def marks(page: list[tuple[str, int]]) -> list[int]:
+    """Sorted marks of the distinct lines that the markup does not name as something else."""
+    return sorted({mark(t) for t, k in page if k >= 0})
+
+
+def main_text(own: list[tuple[str, int]], others: list[list[tuple[str, int]]], common: frozenset[int] = frozenset()) -> str:
     """Lines of a page without those that its markup or the nearest page that is no copy shows to be template.
 
-    Copies are told by the lines that the markup does not name as something else. A page that meets copies only is
-    judged by its markup alone.
+    Copies are told by the lines that are neither ``common`` on the host (marks) nor named as something else by the
+    markup. A page that meets copies only is judged by its markup alone.
     """
-    texts, left = [t for t, _ in own], {i for i, (_, k) in enumerate(own) if k >= 0}
+
+    def telling(page: list[tuple[str, int]]) -> list[str]:
+        return [t for t, k in page if k >= 0 and not (common and mark(t) in common)]
+
+    texts, left = [t for t, _ in own], telling(own)
     for other in others:
-        theirs = sum(k >= 0 for _, k in other)
-        if not theirs:  # shows nothing
+        if all(k < 0 for _, k in other):  # shows nothing
             continue
-        common = shared([texts[i] for i in sorted(left)], [t for t, k in other if k >= 0])
-        if len(common) <= COPY_SHARE * max(1, min(len(left), theirs)):
+        theirs = telling(other)
+        if len(shared(left, theirs)) <= COPY_SHARE * max(1, min(len(left), len(theirs))):
             gone = shared(texts, [t for t, _ in other])
-            return "\n".join(t for i, t in enumerate(texts) if i in left and i not in gone)
+            return "\n".join(t for i, (t, k) in enumerate(own) if k >= 0 and i not in gone)
     has_article = any(k == 1 for _, k in own)
     return "\n".join(t for t, k in own if k == 1 or k == 0 and not has_article)
 
 
-def _common(a: tuple, b: tuple) -> int:
-    """Characters of the path that two pages of one host begin with alike; -1 for different hosts."""
-    if a[0] != b[0]:
-        return -1
+def _common(a: str, b: str) -> int:
+    """Characters that two paths begin with alike."""
     n = 0
-    for x, y in zip(a[1], b[1], strict=False):
+    for x, y in zip(a, b, strict=False):
         if x != y:
             break
         n += 1
@@ -205,95 +222,151 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
     A null or empty html has an empty text; a null url belongs to the host and path of the empty one. Repeated rows
-    are neighbours of each other, count as copies and keep their text. A page without neighbours is judged by its
-    markup alone. An empty table gives an empty result; other columns of ``pages`` are not read.
+    count as one neighbour. A page without neighbours is judged by its markup alone. An empty table gives an empty result; other columns of ``pages`` are not read.
     """
     spark = pages.sparkSession
     scratch.ship(spark)
     link = F.coalesce("url", F.lit(""))
-    key = [F.lower(F.regexp_extract(link, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)).alias("host"), F.regexp_extract(link, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1).alias("path")]
-    thin = pages.select(*key, F.coalesce("page_id", F.lit(-1)).cast("long").alias("id"))
+    key = [F.lower(F.regexp_extract(link, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)).alias("host"), F.regexp_extract(link, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1).alias("path"), F.coalesce("page_id", F.lit(-1)).cast("long").alias("id"), F.xxhash64("html").alias("html_hash")]
+    marked = scratch.keep(pages.select(*key, "html").mapInArrow(_marked, "host string, path string, id bigint, html_hash bigint, marks array<bigint>"), "marks")
+    common = scratch.keep(_common_lines(marked), "common-lines")
     count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * scratch.input_partitions(pages))
-    order = F.struct("host", "path", "id")
-    edges = thin.repartitionByRange(count, "host", "path", "id").sortWithinPartitions("host", "path", "id").mapInArrow(_edges, "host string, path string, id bigint, part int, front int, back int").collect()
-    ranges: dict[int, list[tuple[int, int, tuple]]] = {}
-    for r in edges:  # REACH pages from each end of each range
-        ranges.setdefault(r["part"], []).append((r["front"], r["back"], (r["host"], r["path"], r["id"])))
-    parts = sorted(ranges, key=lambda p: max(k for *_, k in ranges[p]))
-    lasts = [max(k for *_, k in ranges[p]) for p in parts]
+    order = ["host", "path", "id", "html_hash"]
+    telling = F.xxhash64(F.array_except("marks", F.coalesce("common", F.array().cast("array<bigint>"))))
+    thin = marked.join(common, "host", "left").select(*order, telling.alias("telling"))
+    edges = thin.repartitionByRange(count, *order).sortWithinPartitions(*order).mapInArrow(_edges, "host string, path string, id bigint, html_hash bigint, telling bigint, part int, place int").collect()
+    ranges: dict[int, dict[int, tuple[tuple, tuple]]] = {}
+    for r in edges:  # REACH + 1 runs from each end of each range, the last one's last page at -1
+        ranges.setdefault(r["part"], {})[r["place"]] = ((r["host"], r["path"], r["id"], r["html_hash"]), (r["host"], r["telling"]))
+    parts = sorted(ranges, key=lambda p: ranges[p][-1][0])
+    lasts = [ranges[p][-1][0] for p in parts]
     for_others: dict[tuple, set[int]] = {}
     for n, p in enumerate(parts):
-        for front, back, k in ranges[p]:
-            if front < REACH and n:
-                for_others.setdefault(k, set()).add(n - 1)
-            if back < REACH and n + 1 < len(parts):
-                for_others.setdefault(k, set()).add(n + 1)
+        for step in (-1, 1):  # nearest pages of the runs before and after the range, from as many ranges as that takes
+            seen: list[tuple] = []
+            host, m = ranges[p][-1 if step > 0 else 1][0][0], n + step
+            while 0 <= m < len(parts) and len(seen) <= REACH + 1:
+                for place in sorted((k for k in ranges[parts[m]] if k * step > 0), key=abs):
+                    k, run = ranges[parts[m]][place]
+                    if run[0] != host:
+                        m = -2  # no page of another host is a neighbour
+                        break
+                    if not seen or seen[-1] != run:
+                        seen.append(run)
+                        if len(seen) <= REACH + 1:
+                            for_others.setdefault(k, set()).add(n)
+                m += step
     known = spark.sparkContext.broadcast((lasts, for_others))  # a few keys for each range
 
     @F.pandas_udf("array<int>")
-    def places(host: pd.Series, path: pd.Series, page: pd.Series) -> pd.Series:
+    def places(host: pd.Series, path: pd.Series, page: pd.Series, html_hash: pd.Series) -> pd.Series:
         last, more = known.value
         out = []
-        for k in zip(host, path, page, strict=True):
+        for k in zip(host, path, page, html_hash, strict=True):
             own = min(bisect_left(last, k), len(last) - 1)
             out.append([own, *sorted(more.get(k, ()))])
         return pd.Series(out)
 
-    full = pages.select(*key, F.coalesce("page_id", F.lit(-1)).cast("long").alias("id"), "page_id", "url", "html")
-    full = full.withColumn("places", places("host", "path", "id")).withColumn("place", F.explode("places"))
+    full = pages.select(*key, "page_id", "url", "html")
+    full = full.withColumn("places", places(*order)).withColumn("place", F.explode("places"))
     full = full.withColumn("own", F.col("place") == F.element_at("places", 1)).drop("places")
-    dealt = full.repartitionById(count, "place").sortWithinPartitions("place", "host", "path", "id", F.xxhash64("html"))
+    full = full.join(common, "host", "left")
+    dealt = full.repartitionById(count, "place").sortWithinPartitions("place", *order)
     kind = dict(pages.dtypes)["page_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window: list[dict] = []  # pages around the current one, of one range, in order
+        window: list[dict] = []  # runs around the current one, of one range, in order
         done = 0
 
         def finish(final: bool) -> Iterator[dict]:
             nonlocal done
-            while done < len(window) and (final or done + REACH < len(window)):
-                page = window[done]
-                if page["own"]:
-                    near = [k for k in range(max(0, done - REACH), min(len(window), done + REACH + 1)) if k != done]
-                    rank = sorted((k for k in near if window[k]["key"][0] == page["key"][0]), key=lambda k: (-_common(page["key"], window[k]["key"]), abs(k - done), k))
-                    text = main_text(page["lines"], [window[k]["lines"] for k in rank])
+            while done < len(window) and (final or done + REACH + 1 < len(window)):
+                current = window[done]
+                near = [k for k in range(max(0, done - REACH), min(len(window), done + REACH + 1)) if k != done and window[k]["host"] == current["host"]]
+                nearest = {k: window[k]["last" if k < done else "first"] for k in near}
+                texts: dict[tuple, str] = {}
+                for page in current["pages"]:
+                    rank = tuple(sorted(near, key=lambda k: (-_common(page["path"], nearest[k]["path"]), abs(k - done), k)))
+                    text = texts.get((page["lines"], rank))
+                    if text is None:
+                        text = texts[page["lines"], rank] = main_text(page["lines"], [nearest[k]["lines"] for k in rank], current["common"])
                     yield {"page_id": page["page_id"], "url": page["url"], "text": text, "n_chars": len(text)}
+                current["pages"] = []
                 done += 1
                 if done > REACH:
                     window.pop(0)
                     done -= 1
 
+        def add(row: dict) -> None:
+            own = tuple(lines(row["html"]))
+            common = window[-1]["common"] if window and window[-1]["host"] == row["host"] else frozenset(row["common"] or ())
+            telling = tuple(m for m in marks(own) if m not in common)
+            page = {"path": row["path"], "lines": own, "page_id": row["page_id"], "url": row["url"]}
+            if not window or (window[-1]["host"], window[-1]["telling"]) != (row["host"], telling):
+                window.append({"host": row["host"], "telling": telling, "common": common, "first": page, "pages": [], "known": {}})
+            page["lines"] = window[-1]["known"].setdefault(own, own)  # equal pages hold their lines once
+            window[-1]["last"] = page
+            if row["own"]:
+                window[-1]["pages"].append(page)
+
         schema = pa.schema([("page_id", pa.int32() if kind == "int" else pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
         place = None
+        out: list[dict] = []
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                out = []
-                for row in batch.slice(lo, 256).to_pylist():
-                    if row["place"] != place:
-                        out.extend(finish(True))
-                        window, done, place = [], 0, row["place"]
-                    window.append({"key": (row["host"], row["path"]), "lines": lines(row["html"]), "own": row["own"], "page_id": row["page_id"], "url": row["url"]})
-                    out.extend(finish(False))
+            for row in (r for lo in range(0, batch.num_rows, 256) for r in batch.slice(lo, 256).to_pylist()):
+                if row["place"] != place:
+                    out.extend(finish(True))
+                    window, done, place = [], 0, row["place"]
+                add(row)
+                for text in finish(False):
+                    out.append(text)
+                    if len(out) >= 256:
+                        yield pa.RecordBatch.from_pylist(out, schema=schema)
+                        out = []
+        for text in finish(True):
+            out.append(text)
+            if len(out) >= 256:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
-        yield pa.RecordBatch.from_pylist(list(finish(True)), schema=schema)
+                out = []
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return dealt.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint")
 
 
+def _common_lines(marked: DataFrame) -> DataFrame:
+    """host and marks of its common lines, of hosts that have some. Pages with equal lines count once."""
+    pages = marked.where("size(marks) > 0").withColumn("whole", F.xxhash64("marks"))
+    counts = pages.dropDuplicates(["host", "whole"]).select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON_PAGES)
+    sizes = pages.select("host", "whole").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    return counts.join(sizes, "host").where(F.col("n") >= COMMON_SHARE * F.col("pages")).groupBy("host").agg(F.collect_list("mark").alias("common"))
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            found = pa.array([marks(lines(h.as_py())) for h in part.column(4)], type=pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*part.columns[:4], found], names=["host", "path", "id", "html_hash", "marks"])
+
+
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first and last pages of a task's sorted keys, with their distance from its front and its back."""
+    """Pages of the first and last runs of a task's sorted keys that are nearest to its front (1, 2, ...) and back (-1, -2, ...)."""
     from pyspark import TaskContext
 
-    first: list[tuple] = []
-    last: list[tuple] = []
-    n = 0
+    first: list[dict] = []
+    last: list[dict] = []
+
+    def same(a: dict, b: dict) -> bool:
+        return (a["host"], a["telling"]) == (b["host"], b["telling"])
+
     for batch in batches:
-        rows = batch.num_rows
-        head = batch.slice(0, REACH).to_pylist()
-        if len(first) < REACH:
-            first += [tuple(r.values()) for r in head][: REACH - len(first)]
-        last = (last + [tuple(r.values()) for r in batch.slice(max(0, rows - REACH)).to_pylist()])[-REACH:]
-        n += rows
-    keep = {i: k for i, k in enumerate(first)} | {n - len(last) + i: k for i, k in enumerate(last)}
+        for r in batch.to_pylist():
+            if last and same(last[-1], r):
+                last[-1] = r
+                continue
+            if len(first) <= REACH:
+                first.append(r)
+            last = [*last[-REACH:], r]
     part = TaskContext.get().partitionId()
-    yield pa.RecordBatch.from_pylist([{"host": k[0], "path": k[1], "id": k[2], "part": part, "front": i, "back": n - 1 - i} for i, k in sorted(keep.items())], schema=pa.schema([("host", pa.string()), ("path", pa.string()), ("id", pa.int64()), ("part", pa.int32()), ("front", pa.int32()), ("back", pa.int32())]))
+    rows = [{**r, "part": part, "place": i} for i, r in enumerate(first, 1)] + [{**r, "part": part, "place": -i} for i, r in enumerate(reversed(last), 1)]
+    yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("host", pa.string()), ("path", pa.string()), ("id", pa.int64()), ("html_hash", pa.int64()), ("telling", pa.int64()), ("part", pa.int32()), ("place", pa.int32())]))

@@ -82,3 +82,22 @@ def test_shared_lines_inside_the_article_go_and_others_outside_it_stay(spark):
 def test_copy_in_another_template_keeps_its_article():
     own = [("Menu", -1), ("One.", 1), ("Two.", 1), ("Foot", -1)]
     assert main_text(own, [[("Other menu", -1), ("One.", 1), ("Two.", 1), ("Other foot", -1)], [], [("Foot", -1)], [("Two.", 1), ("Three.", 1)]]) == "One."
+
+
+def texts(spark, rows, parts):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+    found = [(r["page_id"], r["text"]) for r in extract(pages).collect()]
+    assert len(found) == len(rows)
+    return dict(found)
+
+
+def test_short_articles_on_a_heavy_template(spark):
+    template = "".join(f"<div>Template {k}</div>" for k in range(20))
+    rows = [(k, f"http://h.example/{k:03}", f"{template}<p>Article {k}.</p>") for k in range(50)]
+    assert texts(spark, rows, 3) == {k: f"Article {k}." for k in range(50)}
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_long_runs_of_copies_meet_the_pages_beyond(spark, parts):
+    rows = [(k, f"http://h.example/{k:03}", page(k if not 20 <= k < 60 else 20, f"<p>Body {k if not 20 <= k < 60 else 20}.</p><p>Other {k if not 20 <= k < 60 else 20}.</p>")[0]) for k in range(80)]
+    assert texts(spark, rows, parts) == {k: f"Body {k if not 20 <= k < 60 else 20}.\nOther {k if not 20 <= k < 60 else 20}." for k in range(80)}
