@@ -33,11 +33,11 @@ def encode_documents(docs: DataFrame, vocabulary: str, end_id: int = END_ID) ->
             texts = batch.column(1)
             for lo in range(0, batch.num_rows, 512):
                 some = texts.slice(lo, 512).to_pylist()
-                ids = [encode(t or "") + [end_id] for t in some]
+                ids = [np.append(encode.array(t or ""), np.uint32(end_id)).astype(encode.dtype) for t in some]
                 sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
                 starts = at + np.cumsum(sizes) - sizes
                 at += int(sizes.sum())
-                blobs = [np.asarray(x, dtype=encode.dtype).tobytes() for x in ids]
+                blobs = [x.tobytes() for x in ids]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 512), pa.array(np.full(len(ids), part, dtype=np.int32)), pa.array(starts), pa.array(sizes), pa.array(blobs, type=pa.binary())], names=["doc_id", "part", "local_start", "n_tokens", "ids"])
 
     kind = dict(docs.dtypes)["doc_id"]
@@ -92,7 +92,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, length: int = SEQUENCE,
     """Pieces of all documents in sequences of ``length`` tokens; every sequence but the last one is full.
 
     A null or empty text is the end id alone. Repeated rows are packed each for itself, and rows with a null doc_id
-    like all others. An empty table has no pieces. Only doc_id and text are read, so further columns cannot clash.
+    like all others. A text of any length is cut into as many sequences as it fills, and a long run of white space is
+    encoded like any other. An empty table has no pieces. Only doc_id and text are read, so further columns cannot clash.
     """
     vocabulary = vocabulary or tokenizer.default_path()
     tokens = scratch.keep(encode_documents(docs, vocabulary, end_id), "tokens")

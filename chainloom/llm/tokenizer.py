@@ -9,12 +9,19 @@ from __future__ import annotations
 import json
 from functools import lru_cache
 
+import numpy as np
+import regex
 import tiktoken
 
 #: Fixed pattern of this family of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: Runs of white space from this length on are cut out and encoded for themselves: the pattern's look-ahead needs a stack as
+#: deep as the run is long.
+_LONG_SPACE = regex.compile(r"\p{White_Space}{4096,}")
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -45,9 +52,22 @@ class Encoder:
         self._sizes: dict[str, int] = {}
 
     def __call__(self, text: str) -> list[int]:
-        if any(s in text for s in self.special):
-            return self.encoding.encode(text, allowed_special="all")
-        return self.encoding.encode_ordinary(text)
+        return self.array(text).tolist()
+
+    def array(self, text: str) -> np.ndarray:
+        """The ids of a text of any length, as 32-bit numbers."""
+        parts: list[np.ndarray] = []
+        at = 0
+        for run in _LONG_SPACE.finditer(text):
+            # the run is a pre-token but for its last character, which belongs to what follows
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            parts += [self._ordinary(text[at : run.start()]), np.array(self.encoding._encode_single_piece(text[run.start() : end]), dtype=np.uint32)]
+            at = end
+        return np.concatenate([*parts, self._ordinary(text[at:])]) if parts else self._ordinary(text)
+
+    def _ordinary(self, text: str) -> np.ndarray:
+        special = "all" if any(s in text for s in self.special) else set()
+        return self.encoding.encode_to_numpy(text, allowed_special=special, disallowed_special=())
 
     def count(self, piece: str) -> int:
         n = self._sizes.get(piece)

@@ -17,6 +17,19 @@ def test_ids_equal_the_tokenizers_library():
         assert own(text) == theirs.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_long_white_space_and_long_words():
+    own, theirs = tokenizer.load(tokenizer.default_path()), Tokenizer.from_file(tokenizer.default_path())
+    for text in (" " * 1_000_000, " " * 5_000_000, "\n" * 1_100_000 + "end", "a b" + "\t" * 5000 + " c", "x" + "\u3000" * 4096, " " * 4095 + "!", "7" + " \n" * 3000 + "\x1c", "w" * 200_000, "<|endoftext|>" + " " * 9000 + "<|endoftext|> z"):
+        assert own(text) == theirs.encode(text, add_special_tokens=False).ids, repr(text[:20])
+
+
+def test_a_very_long_text_is_packed_whole(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "tail")], "doc_id long, text string")
+    got = pack(docs, with_ids=False)
+    assert got.where("doc_id = 1").agg({"length": "sum"}).first()[0] == 1_000_001
+    assert got.where("doc_id = 2").agg({"length": "sum"}).first()[0] == len(tokenizer.load(tokenizer.default_path())("tail")) + 1
+
+
 def test_pieces_cover_every_id_once(spark):
     rng = random.Random(1)
     texts = [None, "", "word", *(" ".join(rng.choice(["alpha", "beta", "ñu"]) for _ in range(rng.randrange(900))) for _ in range(40)), "again " * 9000]
