@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,10 +24,15 @@ from pyspark.sql import functions as F
 
 from chainloom.llm import scratch
 
-#: Payload bytes after which a task begins its next archive, and bytes inflated at a time.
+#: Bytes of records after which a task begins its next archive, and bytes inflated at a time.
 ARCHIVE_BYTES = 16 << 20
 PIECE = 1 << 20
 LEVEL = 6
+#: Parts that the records of one payload are dealt to.
+SALTS = 16
+
+
+_UNPRINTABLE = re.compile(r"[\x00-\x20\x7f\x85\s]")
 
 
 def _open(path: str):
@@ -50,6 +56,11 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[: int(headers["Content-Length"])]
 
 
+def _size(head: bytes) -> int:
+    """Length of the block after a record's header lines; only a line that begins with the field's name counts."""
+    return next(int(line[15:]) for line in head.split(b"\r\n")[1:] if line[:15].lower() == b"content-length:")
+
+
 def records_of_stream(source, piece: int = PIECE) -> Iterator[bytes]:
     """Records of a gzip stream that is inflated once from start to end; any number of members may follow another.
 
@@ -70,7 +81,7 @@ def records_of_stream(source, piece: int = PIECE) -> Iterator[bytes]:
                 end = held.find(b"\r\n\r\n", at)
                 if end < 0:
                     break
-                size = int(held[held.index(b"Content-Length: ", at) + 16 : end].split(b"\r\n")[0])
+                size = _size(bytes(held[at:end]))
                 if len(held) < end + 8 + size:
                     break
                 yield bytes(held[at : end + 8 + size])
@@ -81,7 +92,8 @@ def records_of_stream(source, piece: int = PIECE) -> Iterator[bytes]:
 
 
 def _uri(url: str | None) -> str:
-    return (url or "").replace("\r", "%0D").replace("\n", "%0A")
+    """A target for one header line: white space and control characters percent-encoded, all else as it is."""
+    return _UNPRINTABLE.sub(lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), url or "")
 
 
 def write_archives(pages: DataFrame, where: str) -> DataFrame:
@@ -111,10 +123,11 @@ def write_archives(pages: DataFrame, where: str) -> DataFrame:
                     payload = (html or "").encode()
                     mark = digest(payload)
                     headers = [("WARC-Type", "response"), ("WARC-Record-ID", f"<urn:page:{json.dumps(page)}:{name}:{at}>"), ("WARC-Target-URI", _uri(url)), ("Content-Type", "text/html; charset=utf-8"), ("WARC-Payload-Digest", f"sha1:{mark}"), ("X-Page-Id", json.dumps(page)), ("X-Payload-Length", str(len(payload)))]
-                    file.write(press.compress(record(headers, payload)))
+                    whole = record(headers, payload)
+                    file.write(press.compress(whole))
                     for key, value in zip(out, (page, name, at, len(payload), mark), strict=True):
                         out[key].append(value)
-                    size, at = size + len(payload), at + 1
+                    size, at = size + len(whole), at + 1
                 yield pa.RecordBatch.from_pydict(out, schema=arrow)
         close()
 
@@ -124,12 +137,18 @@ def write_archives(pages: DataFrame, where: str) -> DataFrame:
 
 
 def revisits(manifest: DataFrame, least: int) -> DataFrame:
-    """archive, number, refers_to of every record whose payload a record with a larger page_id holds."""
+    """archive, number, refers_to of every record whose payload a record with a larger page_id holds.
+
+    The copies of one payload may be a third of all records: they are dealt to SALTS parts, each of which meets its own
+    copy of the payload's response.
+    """
     mine = F.struct("page_id", "archive", "number")
     copies = manifest.where(F.col("payload_bytes") >= least)
     first = copies.groupBy("payload_digest").agg(F.max(mine).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first = scratch.keep(first.select("payload_digest", "first"), "payloads")
-    return copies.join(first, "payload_digest").where(mine != F.col("first")).select("archive", "number", F.col("first.page_id").alias("refers_to"))
+    salted = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = copies.withColumn("salt", F.pmod(F.xxhash64("archive", "number"), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, ["payload_digest", "salt"]).where(mine != F.col("first")).select("archive", "number", F.col("first.page_id").alias("refers_to"))
 
 
 def normalise(archives: DataFrame, streams: str, where: str) -> DataFrame:
@@ -203,7 +222,9 @@ def round_trip(pages: DataFrame, least: int = 0, payloads: bool = False) -> Data
 
     Of records with equal payloads of at least ``least`` bytes the one with the largest page_id stays a response and
     the others become revisits that refer to it; of repeated rows of that page, the last written stays. A null html is
-    an empty payload, a null url an empty target; a null page_id comes before all others and is returned as null. An
+    an empty payload, a null url an empty target, and white space in a url is percent-encoded in its target; a payload of
+    any length is one record, held whole by one task, and an archive ends after the record that fills it, so that empty
+    payloads fill archives too; a null page_id comes before all others and is returned as null. An
     empty table has no archives and no rows. Further columns of ``pages`` are not read.
     """
     spark = pages.sparkSession

@@ -5,7 +5,8 @@ import io
 
 import pytest
 
-from chainloom.llm.warc import parse, record, records_of_stream, round_trip
+from chainloom.llm import scratch
+from chainloom.llm.warc import parse, record, records_of_stream, round_trip, write_archives
 
 
 def sha(payload):
@@ -49,3 +50,21 @@ def test_stream_of_several_members_and_a_broken_one():
     assert [parse(r)[1] for r in records_of_stream(io.BytesIO(data), piece=100)] == [b"", b"z" * 5, b"z" * 70000]
     with pytest.raises(ValueError):
         list(records_of_stream(io.BytesIO(gzip.compress(raw[1][:-3]))))
+
+
+def test_urls_that_look_like_header_lines(spark):
+    urls = ["http://h/?q=Content-Length: 7", "http://h/a\r\nContent-Length: 3\r\n\r\nx", "http://h/ tab\tand line", "content-length: 1", ": ", ""]
+    pages = spark.createDataFrame([(k, u, f"page {k}") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in round_trip(pages, payloads=True).collect()}
+    assert [bytes(got[k]["payload"]) for k in range(len(urls))] == [f"page {k}".encode() for k in range(len(urls))]
+    assert got[0]["url"] == "http://h/?q=Content-Length:%207" and got[1]["url"] == "http://h/a%0D%0AContent-Length:%203%0D%0A%0D%0Ax"
+    assert got[2]["url"] == "http://h/%20tab%09and%E2%80%A8line" and got[3]["url"] == "content-length:%201"
+
+
+def test_empty_payloads_fill_archives(spark):
+    pages = spark.range(100_000).selectExpr("id as page_id", "cast(null as string) as url", "cast(null as string) as html").coalesce(1)  # about 30 MB of record headers
+    found = write_archives(pages, scratch.folder(spark, "test-warc")).groupBy("archive").count().collect()
+    assert len(found) >= 2 and max(r["count"] for r in found) < 70_000
+    got = round_trip(pages).groupBy("record_type", "refers_to").count().collect()
+    assert sorted((r["record_type"], r["refers_to"], r["count"]) for r in got if r["refers_to"]) == [("revisit", 99_999, 99_999)]
+    assert sum(r["count"] for r in got) == 100_000
