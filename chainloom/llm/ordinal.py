@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from chainloom.llm import scratch, words
 
-#: Bound of the training sample, in documents and in bytes of text of one of them (longer ones are not sampled).
-SAMPLE_DOCUMENTS, SAMPLE_BYTES = 12_000, 1 << 16
+#: Bound of the training sample, in documents of any length.
+SAMPLE_DOCUMENTS = 12_000
 #: A feature must lie in so many sampled documents, with a grade's share there so many standard errors from its share
 #: in all; features are hashed to this many bits.
 LEAST_DOCUMENTS, LEAST_SIGNAL, HASH_BITS = 3, 5.0, 26
@@ -99,28 +99,45 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return distinct, at, np.stack(columns, axis=1).astype(np.float64)
 
 
-def fit(rows: Iterator[tuple[int, bytes, bytes]], rounds: int = 120, rate: float = 0.15, ridge: float = 2e-4) -> Ordinal:
-    """Fit by full-batch adaptive gradient steps. rows: grade, hashed features (uint32), numeric features (float64)."""
+def informative(sample: DataFrame) -> np.ndarray:
+    """Sorted features of a sample (grade, hashed) that are associated with a grade.
+
+    Spark counts the documents of each feature; the features chosen, of at most 2^HASH_BITS, come to the driver.
+    """
+    n, *of_grade = sample.agg(F.count(F.lit(1)), *(F.sum((F.col("grade") == k).cast("long")) for k in (0, 1))).first()
+    if not n:
+        return np.zeros(0, dtype=np.uint32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grade = batch.column(0).to_numpy()
+            lists = [np.frombuffer(v.as_buffer(), dtype=np.uint32) for v in batch.column(1)]
+            keys, index, counts = np.unique(np.concatenate([np.zeros(0, np.uint32), *lists]), return_inverse=True, return_counts=True)
+            owner = np.repeat(grade, [len(v) for v in lists])
+            by = [np.bincount(index, weights=owner == k, minlength=len(keys)).astype(np.int64) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, (keys.astype(np.int64), counts, *by))), names=["feature", "n", "n0", "n1"])
+
+    counted = sample.select("grade", "hashed").mapInArrow(run, "feature bigint, n bigint, n0 bigint, n1 bigint").groupBy("feature").agg(*(F.sum(c).alias(c) for c in ("n", "n0", "n1")))
+    signal = F.lit(False)
+    for k in (0, 1):  # how far the share of a grade among a feature's documents is from its share in all
+        mean = of_grade[k] / n
+        signal |= F.abs(F.col(f"n{k}") - F.col("n") * mean) / F.sqrt(F.col("n") * max(mean * (1 - mean), 1e-9)) >= LEAST_SIGNAL
+    chosen = counted.where((F.col("n") >= min(LEAST_DOCUMENTS, max(1, n // 50))) & signal).select("feature").toArrow()
+    return np.sort(chosen["feature"].to_numpy().astype(np.uint32))
+
+
+def fit(rows: Iterator[tuple[int, bytes, bytes]], keys: np.ndarray | None = None, rounds: int = 120, rate: float = 0.15, ridge: float = 2e-4) -> Ordinal:
+    """Fit by full-batch adaptive gradient steps. rows: grade, features (uint32) among the sorted ``keys``, numeric
+    features (float64)."""
     graded = list(rows)
     if not graded:
         return Ordinal(np.zeros(0, dtype=np.uint32), np.zeros(_NUMBERS), np.array([-20.0, -10.0]))
+    keys = np.zeros(0, dtype=np.uint32) if keys is None else keys
     y = np.array([g for g, _, _ in graded])
     lists = [np.frombuffer(v, dtype=np.uint32) for _, v, _ in graded]
     numbers = np.stack([np.frombuffer(v, dtype=np.float64) for _, _, v in graded])
-    flat = np.concatenate(lists)
-    keys, index, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    column = np.searchsorted(keys, np.concatenate(lists))
     row = np.repeat(np.arange(len(lists)), [len(v) for v in lists])
-    signal = np.zeros(len(keys))
-    for grade in (0, 1):  # how far the share of a grade among a feature's documents is from its share in all
-        own = (y == grade).astype(np.float64)
-        apart = np.bincount(index, weights=(own - own.mean())[row], minlength=len(keys)) / np.sqrt(counts * max(own.var(), 1e-9))
-        signal = np.maximum(signal, np.abs(apart))
-    often = (counts >= min(LEAST_DOCUMENTS, max(1, len(graded) // 50))) & (signal >= LEAST_SIGNAL)
-    place = np.full(len(keys), -1)
-    place[often] = np.arange(often.sum())
-    column = place[index]
-    row, column = row[column >= 0], column[column >= 0]
-    keys = keys[often].astype(np.uint32)
     weights, grid = np.zeros(len(keys) + _NUMBERS), np.array([-2.0, np.log(3.0)])
     classes = np.bincount(y, minlength=3).astype(np.float64)
     balance = (len(y) / (3 * np.maximum(classes, 1)))[y] ** 0.5
@@ -154,7 +171,10 @@ def _featurise(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, n
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Ordinal:
-    """Fit on at most ``sample`` rated documents, those with the smallest hash of doc_id."""
+    """Fit on at most ``sample`` rated documents of any length, those with the smallest hash of doc_id.
+
+    The driver gets the chosen features that each of them has, not its text.
+    """
     scratch.ship(docs.sparkSession)
     chosen = grades(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
@@ -165,9 +185,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array(lists, type=pa.binary()), pa.array([n.tobytes() for n in numbers], type=pa.binary())], names=["grade", "hashed", "numbers"])
 
     # the sample's ids and grades are bounded by ``sample`` rows of 12 bytes
-    rated = docs.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(chosen), "doc_id").select("grade", "text")
-    found = rated.mapInArrow(run, "grade int, hashed binary, numbers binary")
-    return fit((r["grade"], bytes(r["hashed"]), bytes(r["numbers"])) for r in found.toLocalIterator())
+    rated = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("grade", "text")
+    found = scratch.keep(rated.mapInArrow(run, "grade int, hashed binary, numbers binary"), "rated")
+    keys = informative(found)
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [np.frombuffer(v.as_buffer(), dtype=np.uint32) for v in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v[np.isin(v, keys)].tobytes() for v in lists], type=pa.binary()), batch.column(2)], names=batch.schema.names)
+
+    kept = found.mapInArrow(narrow, found.schema)
+    return fit(((r["grade"], bytes(r["hashed"]), bytes(r["numbers"])) for r in kept.toLocalIterator()), keys)
 
 
 def score(docs: DataFrame, model: Ordinal, carry: list[str]) -> DataFrame:
@@ -200,16 +228,20 @@ def accepted(least_tail: float = LEAST_TAIL) -> Column:
 def classify(docs: DataFrame, labels: DataFrame, least_tail: float = LEAST_TAIL) -> DataFrame:
     """doc_id, expected_grade, p_above_toxic, p_good and kept for every row of ``docs``.
 
-    A null text is scored as an empty one, repeated rows each for itself; rows with a null doc_id are scored but never
-    trained on. Without any usable label everything is kept. An empty table gives an empty result; other columns are
-    not read.
+    A null text is scored as an empty one, a text of any length as a whole, repeated rows each for itself; rows with a
+    null doc_id are scored but never trained on. Without any usable label everything is kept. An empty table gives an
+    empty result; other columns are not read.
     """
     model = train(docs, labels)
     return score(docs, model, ["doc_id"]).withColumn("kept", accepted(least_tail))
 
 
 def reject(docs: DataFrame, labels: DataFrame, least_tail: float = LEAST_TAIL) -> DataFrame:
-    """The rows of ``docs`` that ``classify`` keeps, with all their columns; each text passes through one task once."""
+    """The rows of ``docs`` that ``classify`` keeps, with all their columns; each text passes through one task once.
+
+    Nulls, repeated rows, texts of any length and empty tables are treated as by ``classify``: repeated rows are kept or
+    rejected together, and other columns, whatever their names, come back as they were.
+    """
     columns = docs.columns
     names = [f"c{k}" for k in range(len(columns))]  # names of the model's own columns cannot clash with these
     model = train(docs, labels)

@@ -1,9 +1,12 @@
+import itertools
+import math
 import random
+import re
 
 import numpy as np
 import pytest
 
-from chainloom.llm import ordinal
+from chainloom.llm import ordinal, words
 
 
 def corpus(n, seed):
@@ -63,3 +66,59 @@ def test_features_of_short_texts(text):
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     values, at, numbers = ordinal.features(data, np.array([0, len(data)]))
     assert at[-1] == len(values) and numbers.shape == (1, ordinal._NUMBERS)
+
+
+def hashed(text, lower=True):
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    return int(words.hash_words(data, np.array([0]), np.array([len(data)]), lower)[0])
+
+
+def score_of(text, model):
+    """The model's score of one text, word by word."""
+    lower = lambda w: "".join(c.lower() if "A" <= c <= "Z" else c for c in w)
+    parts = re.findall(r"[^\x20\x09-\x0D]+", text)
+    found, shapes = set(), []
+    for w in parts:
+        kinds = "".join("A" if "A" <= c <= "Z" else "a" * len(c.encode()) if "a" <= c <= "z" or ord(c) > 127 else "0" if "0" <= c <= "9" else c for c in w)
+        shapes.append(kinds)
+        bare = "".join(c for c, k in zip(w, w, strict=True) if c.isascii() and c.isalpha() or ord(k) > 127)
+        if bare:
+            found.add(hashed(bare) >> (64 - ordinal.HASH_BITS))
+        found.add((hashed("".join(k for k, _ in itertools.groupby(kinds)), False) ^ int(ordinal._SHAPE_SALT)) >> (64 - ordinal.HASH_BITS))
+    n = len(parts)
+    share = lambda f: sum(map(f, shapes)) / max(n, 1)
+    signs = lambda k: sum(c not in "aA0" for c in k)
+    again = 1 - len(set(map(lower, parts))) / max(n, 1)
+    same = sum(lower(a) == lower(b) for a, b in itertools.pairwise(parts)) / max(n, 1)
+    numbers = [share(lambda k: 2 * k.count("A") > len(k)), share(lambda k: signs(k) >= 2), share(lambda k: signs(k) == len(k)), same, share(lambda k: len(k) > 20), again if n > 50 else 0, float(n > 50 and again > 0.8), float(n == 0), 1]
+    where = {int(k): w for k, w in zip(model.keys, model.weights, strict=False)}
+    return sum(where.get(f, 0.0) for f in found) + float(np.dot(numbers, model.weights[len(model.keys) :]))
+
+
+def test_scores_equal_brute_force(spark):
+    rows, marks = corpus(200, 3)
+    rows += [(1000, None), (1001, ""), (1002, "Ünï-cödé badword " * 30), (1003, "!!! ### 12:30 12:30 " + "q" * 50)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    model = ordinal.train(docs, labels)
+    assert len(model.keys)
+    for r in ordinal.classify(docs, labels).join(docs, "doc_id").collect():
+        score = score_of(r["text"] or "", model)
+        tails = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        assert math.isclose(r["p_above_toxic"], tails[0], abs_tol=1e-6) and math.isclose(r["p_good"], tails[1], abs_tol=1e-6)
+        assert math.isclose(r["expected_grade"], sum(tails), abs_tol=1e-6) and r["kept"] == (r["p_good"] >= ordinal.LEAST_TAIL)
+
+
+def test_features_are_chosen_by_association(spark):
+    rows = [(k % 3, np.unique(np.array([1, 2 + k % 3, 10 + k], dtype=np.uint32))) for k in range(300)]
+    sample = spark.createDataFrame([(g, bytearray(v.tobytes())) for g, v in rows], "grade int, hashed binary")
+    assert ordinal.informative(sample).tolist() == [2, 3, 4]  # 1 is in all, those from 10 on in one each
+    assert ordinal.informative(sample.limit(0)).tolist() == []
+
+
+def test_long_rated_documents_are_learnt_from(spark):
+    long = "filler " * 10_000  # more than 64 KiB
+    rows = [(k, long + ("dreadful" if k % 2 else "pleasant")) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1 - k % 2, k % 2) for k in range(100)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["kept"] for r in ordinal.classify(docs, labels).collect()}
+    assert all(got[k] == (k % 2 == 0) for k in range(120))
