@@ -36,24 +36,29 @@ REACH = 2
 #: A line is common on a host from so many different pages and this share of them on.
 COMMON_PAGES, COMMON_SHARE = 3, 0.5
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|$)", re.S)
+# comments, sections of character data, declarations and tags; a tag in which a quote stays open ends at its first bracket
+_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|\"[^\"<>]*\"|'[^'<>]*'|[^'\"<>])*+(?=>|$)|[^<>]*)(?:>|$|(?=<))", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPACE = re.compile(r"\s+")
 # Fixed sets of element and class names.
-_RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "object", "svg", "math", "xmp", "noembed", "noframes"}
+_RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "object", "svg", "xmp", "noembed", "noframes"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul"}
-_OUT = {"nav", "header", "footer", "aside", "form", "head", "title", "menu", "button", "select", "dialog", "fieldset", "label", "option"}
+_OUT = {"nav", "header", "footer", "aside", "form", "head", "title", "menu", "button", "select", "dialog", "fieldset", "option"}
 _OUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu", "menubar", "form"}
 _OUT_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "discussion", "footer", "gdpr", "header", "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promoted", "related", "recommended", "replies", "reply", "respond", "share", "sharing", "sidebar", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget"}
+#: Words that say nothing for themselves: "site-header" is a header, "market-share" is no bar for sharing.
+_PLACE_WORDS = {"area", "article", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "desktop", "entry", "fixed", "form", "global", "group", "icon", "icons", "inline", "inner", "item", "items", "js", "left", "link", "links", "list", "main", "message", "mobile", "outer", "overlay", "page", "panel", "policy", "post", "primary", "right", "secondary", "section", "site", "slot", "sticky", "text", "thread", "top", "unit", "wrap", "wrapper"}
+#: Words and elements that inside an article belong to it: its own headline.
+_HEAD_WORDS = {"header", "masthead"}
 _MAIN_WORDS = {"article", "articlebody", "entry-content", "post-content", "article-content", "article-body", "post-body", "main-content", "story-body"}
 
 
-def _kind(name: str, attributes: str) -> int:
-    """1: the article, -1: something else, 0: neither says."""
-    if name in _OUT:
+def _kind(name: str, attributes: str, inside: bool = False) -> int:
+    """1: the article, -1: something else, 0: neither says. ``inside``: the element lies in an article."""
+    if name in _OUT and not (inside and name in _HEAD_WORDS):
         return -1
-    words, whole = set(), set()
+    whole = set()
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'").lower()
@@ -65,13 +70,14 @@ def _kind(name: str, attributes: str) -> int:
             elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
                 return -1
             elif key in ("class", "id"):
-                for w in value.split():
-                    whole.add(w)
-                    words.update(re.split(r"[-_]+", w))
+                whole.update(value.split())
     if name == "body" or name == "html":
         return 0
-    if words & _OUT_WORDS:
-        return -1
+    out = _OUT_WORDS - _HEAD_WORDS if inside else _OUT_WORDS
+    for w in whole:
+        parts = set(re.split(r"[-_]+", w)) - {""}
+        if parts & out and parts <= out | _PLACE_WORDS:
+            return -1
     if name in ("article", "main") or whole & _MAIN_WORDS:
         return 1
     return 0
@@ -119,7 +125,7 @@ def lines(page: str | None) -> list[tuple[str, int]]:
             elif name not in _VOID and not (position[3] or "").endswith("/"):
                 if name == "p" and stack and stack[-1][0] == "p":
                     state = stack.pop()[1]
-                kind = _kind(name, position[3] or "")
+                kind = _kind(name, position[3] or "", state == 1)
                 inner = -1 if state == -1 or kind == -1 else max(state, kind)
                 if inner != state or name in _BLOCK or any(open_ == name for open_, _ in stack):
                     if inner != state:
@@ -190,14 +196,15 @@ def main_text(own: list[tuple[str, int]], others: list[list[tuple[str, int]]], c
     """Lines of a page without those that its markup or the nearest page that is no copy shows to be template.
 
     Copies are told by the lines that are neither ``common`` on the host (marks) nor named as something else by the
-    markup. A page that meets copies only is judged by its markup alone.
+    markup. A page that meets copies only loses the host's common lines, and what its markup sets beside an article; one
+    that has no line of its own besides common ones, or no neighbour, is judged by its markup alone.
     """
 
     def telling(page: list[tuple[str, int]]) -> list[str]:
         return [t for t, k in page if k >= 0 and not (common and mark(t) in common)]
 
     texts, left = [t for t, _ in own], telling(own)
-    for other in others:
+    for other in others if left else []:
         if all(k < 0 for _, k in other):  # shows nothing
             continue
         theirs = telling(other)
@@ -205,7 +212,8 @@ def main_text(own: list[tuple[str, int]], others: list[list[tuple[str, int]]], c
             gone = shared(texts, [t for t, _ in other])
             return "\n".join(t for i, (t, k) in enumerate(own) if k >= 0 and i not in gone)
     has_article = any(k == 1 for _, k in own)
-    return "\n".join(t for t, k in own if k == 1 or k == 0 and not has_article)
+    gone = common if left and others else frozenset()
+    return "\n".join(t for t, k in own if (k == 1 or k == 0 and not has_article) and not (gone and mark(t) in gone))
 
 
 def _common(a: str, b: str) -> int:
@@ -221,8 +229,9 @@ def _common(a: str, b: str) -> int:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
-    A null or empty html has an empty text; a null url belongs to the host and path of the empty one. Repeated rows
-    count as one neighbour. A page without neighbours is judged by its markup alone. An empty table gives an empty result; other columns of ``pages`` are not read.
+    A null or empty html has an empty text; a null url belongs to the host and path of the empty one. A page of any
+    length is read whole, by one task. Repeated rows count as one neighbour. A page without neighbours is judged by its
+    markup alone. An empty table gives an empty result; other columns of ``pages`` are not read.
     """
     spark = pages.sparkSession
     scratch.ship(spark)

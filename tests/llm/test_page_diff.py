@@ -1,8 +1,10 @@
+import os
 import random
+from urllib.parse import urlsplit
 
 import pytest
 
-from chainloom.llm.page_diff import extract, lines, main_text, shared
+from chainloom.llm.page_diff import COMMON_PAGES, COMMON_SHARE, COPY_SHARE, REACH, extract, lines, main_text, shared
 
 
 def lcs_length(a, b):
@@ -101,3 +103,95 @@ def test_short_articles_on_a_heavy_template(spark):
 def test_long_runs_of_copies_meet_the_pages_beyond(spark, parts):
     rows = [(k, f"http://h.example/{k:03}", page(k if not 20 <= k < 60 else 20, f"<p>Body {k if not 20 <= k < 60 else 20}.</p><p>Other {k if not 20 <= k < 60 else 20}.</p>")[0]) for k in range(80)]
     assert texts(spark, rows, parts) == {k: f"Body {k if not 20 <= k < 60 else 20}.\nOther {k if not 20 <= k < 60 else 20}." for k in range(80)}
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<article><header><h1>Title</h1></header><p>body</p></article>", "Title\nbody"),
+        ('<article><div class="entry-header"><h1>Title</h1></div><p>body</p></article><div class="site-header">Site</div>', "Title\nbody"),
+        ('<article><p class="market-share">Share rose</p><p class="share-buttons">Tell others</p></article>', "Share rose"),
+        ("<main><p>Let <math><mi>x</mi></math> be</p><label>A label</label><form><label>Your name</label></form></main>", "Let x be\nA label"),
+        ('<main><p>a <a title="foo>b</a> c</p><p class="x">d</p></main>', "a b c\nd"),
+        ('<main><p>a <a title="x > y">b</a></p></main>', "a b"),
+        ("<main><p>1 < 2 and 3 > 2</p></main>", "1 < 2 and 3 > 2"),
+    ],
+)
+def test_what_belongs_to_an_article(html, text):
+    got = main_text(lines(html), [])
+    assert got == text or got.replace("\n", " ") == text.replace("\n", " ")
+
+
+def test_neighbours_decide_on_the_given_pages(spark):
+    """Passages that a page shares with its neighbour go, though they lie in its article element."""
+    path = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no given pages")
+    pages = spark.read.parquet(path)
+    got = {r["page_id"]: r["text"] for r in extract(pages).collect()}
+    alone = {r["page_id"]: main_text(lines(r["html"]), []) for r in pages.collect()}
+    changed = [k for k in got if got[k] != alone[k]]
+    assert changed and all(is_subsequence(got[k].split("\n"), alone[k].split("\n")) for k in changed if got[k])
+
+
+def test_many_copies_that_are_not_equal(spark):
+    """More near copies on each side than are looked at: the host's common lines go, the article stays."""
+    rows = []
+    for k in range(60):
+        own = f"<p>Variant {k}.</p>" + "".join(f"<p>Same line {j}.</p>" for j in range(15)) if k < 12 else f"<p>Body {k}.</p>"
+        rows.append((k, f"http://h.example/{k:03}", page(k, own)[0]))
+    got = texts(spark, rows, 4)
+    same = "\n".join(f"Same line {j}." for j in range(15))
+    assert all(got[k] == f"Variant {k}.\n{same}" for k in range(9)) and all(got[k] == f"Body {k}." for k in range(15, 60))
+
+
+def by_brute_force(rows):
+    """Every page against the runs around it on its host, in one list."""
+    hosts = {}
+    for k, url, html in rows:
+        parts = urlsplit(url or "")
+        hosts.setdefault(parts.netloc.lower(), []).append((parts.path, k, tuple(lines(html))))
+    out = {}
+    for pages in hosts.values():
+        own = {tuple(sorted({t for t, kind in p[2] if kind >= 0})) for p in pages} - {()}
+        often = [t for x in own for t in x]
+        common = {t for t in often if often.count(t) >= max(COMMON_PAGES, COMMON_SHARE * len(own))}
+        telling = lambda ls, c=common: [t for t, kind in ls if kind >= 0 and t not in c]
+        runs = []
+        for p in sorted(pages, key=lambda p: p[:2]):
+            key = sorted(set(telling(p[2])))
+            if not runs or runs[-1][0] != key:
+                runs.append((key, []))
+            runs[-1][1].append(p)
+        for n, (_, run) in enumerate(runs):
+            for path, k, ls in run:
+                near = [(m, runs[m][1][-1 if m < n else 0]) for m in range(max(0, n - REACH), min(len(runs), n + REACH + 1)) if m != n]
+                near.sort(key=lambda x: (-len(os.path.commonprefix([path, x[1][0]])), abs(x[0] - n), x[0]))
+                left, gone, met = telling(ls), None, False
+                for _, (_, _, other) in near if left else []:
+                    met = True
+                    theirs = telling(other)
+                    if any(kind >= 0 for _, kind in other) and lcs_length(left, theirs) <= COPY_SHARE * max(1, min(len(left), len(theirs))):
+                        gone = shared([t for t, _ in ls], [t for t, _ in other])
+                        break
+                if gone is not None:
+                    out[k] = [t for i, (t, kind) in enumerate(ls) if kind >= 0 and i not in gone]
+                else:
+                    marked = any(kind == 1 for _, kind in ls)
+                    out[k] = [t for t, kind in ls if (kind == 1 or kind == 0 and not marked) and not (met and t in common)]
+    return {k: "\n".join(v) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_extract_equals_brute_force(spark, parts):
+    rng = random.Random(parts)
+    rows = []
+    for k in range(150):
+        host = rng.choice(["a.example", "b.example", "B.example", "c.example"])
+        body = "".join(f"<p>Line {rng.randrange(40)}</p>" for _ in range(rng.randrange(6)))
+        if rng.random() < 0.3 and rows:
+            body = rng.choice(rows)[2]
+        mark = rng.random()
+        html = f"<div>{host} top</div><nav>n</nav>" + (f"<article>{body}</article>" if mark < 0.5 else body) + f"<div>{host} end</div>"
+        rows.append((k, f"http://{host}/{rng.choice('xyz')}/{rng.randrange(30)}", html))
+    assert texts(spark, rows, parts) == by_brute_force(rows)
