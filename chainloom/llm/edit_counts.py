@@ -1,13 +1,15 @@
 """Token counts that follow edits: a tree of sums over each document's pre-tokens.
 
-The leaves hold runs of pre-tokens; every node holds the characters and tokens below it. An edit descends by
-characters to the leaf it begins in, encodes again from the last boundary that the edit cannot move to the first
-boundary after it at which old and new pre-tokens meet, and renews the sums on the way up. All else stays.
+The leaves hold runs of pre-tokens with their text; every node holds the characters and tokens below it. An edit
+descends by characters to the leaf it begins in, encodes again from the last boundary that the edit cannot move to the
+first boundary after it at which old and new pre-tokens meet, and renews the sums on the way up. All else stays. A leaf
+that grows beyond twice its size is split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -26,7 +28,7 @@ class CountTree:
     def __init__(self, text: str, count, leaf: int = LEAF, kept: list[tuple[int, int]] | None = None):
         """``kept``: characters and tokens of each leaf of the text's tree, of which no pre-token is encoded until an
         edit touches its leaf; without it all are."""
-        self.text, self.count = text, count
+        self.count, self.leaf = count, leaf
         self.encoded = 0  # pre-tokens encoded since the tree was built
         self.leaves: list[tuple[list[int], list[int]] | None]
         if kept is None:
@@ -38,7 +40,12 @@ class CountTree:
         else:
             kept = kept or [(0, 0)]
             self.leaves = [None] * len(kept)
-        self.width = 1 << (len(self.leaves) - 1).bit_length()
+        ends = list(accumulate(c for c, _ in kept))
+        self.texts = [text[end - c : end] for end, (c, _) in zip(ends, kept, strict=True)]
+        self._plant(kept)
+
+    def _plant(self, kept: list[tuple[int, int]]) -> None:
+        self.width = 1 << (len(kept) - 1).bit_length()
         self.sums = [(0, 0)] * (2 * self.width)
         self.sums[self.width : self.width + len(kept)] = kept
         for k in range(self.width - 1, 0, -1):
@@ -46,17 +53,22 @@ class CountTree:
 
     def leaf_sums(self) -> list[tuple[int, int]]:
         """Characters and tokens of each leaf: what has to be kept of the tree beside the text."""
-        return [tuple(self.sums[self.width + k]) for k in range(len(self.leaves))]
+        return self.sums[self.width : self.width + len(self.leaves)]
 
-    def _leaf(self, k: int, begin: int) -> tuple[list[int], list[int]]:
-        """Pre-tokens of a leaf that begins at ``begin``, which is a boundary of pre-tokens whatever lies before it."""
+    def _leaf(self, k: int) -> tuple[list[int], list[int]]:
+        """Pre-tokens of a leaf, which begins at a boundary of pre-tokens whatever lies before it."""
         if self.leaves[k] is None:
-            sizes, tokens, end = [], [], begin + self.sums[self.width + k][0]
-            while begin < end:
-                match = _PIECE.match(self.text, begin)
-                sizes.append(match.end() - begin)
-                tokens.append(self.count(match.group()))
-                begin = match.end()
+            text, end, following = self.texts[k], len(self.texts[k]), k + 1
+            while following < len(self.texts) and not self.texts[following]:
+                following += 1
+            # what follows decides where the last pre-token ends, and the leaf's own end is a boundary
+            ahead = text + (self.texts[following][:2] if following < len(self.texts) else "")
+            sizes, tokens, at = [], [], 0
+            while at < end:
+                match = _PIECE.match(ahead, at)
+                sizes.append(min(match.end(), end) - at)
+                tokens.append(self.count(ahead[at : at + sizes[-1]]))
+                at += sizes[-1]
             self.encoded += len(sizes)
             self.leaves[k] = (sizes, tokens)
         return self.leaves[k]
@@ -69,6 +81,10 @@ class CountTree:
     def tokens(self) -> int:
         return self.sums[1][1]
 
+    @property
+    def text(self) -> str:
+        return "".join(self.texts)
+
     def leaf_at(self, position: int) -> tuple[int, int]:
         """The leaf in which a character lies, and the position at which that leaf begins."""
         k, begin = 1, 0
@@ -81,61 +97,87 @@ class CountTree:
 
     def edit(self, start: int, end: int, new: str) -> None:
         """Replace characters ``start:end``; both are brought into the text, and an end before the start counts as it."""
-        start = min(max(start, 0), len(self.text))
-        end = min(max(end, start), len(self.text))
+        start = min(max(start, 0), self.sums[1][0])
+        end = min(max(end, start), self.sums[1][0])
+        shift = len(new) - (end - start)
         # a pre-token depends on two characters after it at most, so those that end two before the edit stay
         first, begin = self.leaf_at(max(start - 2, 0))
-        while first and begin > max(start - 2, 0):
-            first -= 1
-            begin -= self.sums[self.width + first][0]
-        sizes, tokens = self._leaf(first, begin)
+        sizes, tokens = self._leaf(first)
         at, keep = begin, 0
         while keep < len(sizes) and at + sizes[keep] <= start - 2:
             at += sizes[keep]
             keep += 1
-        # leaves that old boundaries up to the first one behind the edit can lie in, while the old text is there
-        reach, k = begin + self.sums[self.width + first][0], first + 1
-        while k < len(self.leaves) and reach <= end + 2:
-            self._leaf(k, reach)
-            reach, k = reach + self.sums[self.width + k][0], k + 1
-        self.text = self.text[:start] + new + self.text[end:]
-        shift = len(new) - (end - start)
-        leaf, place, old, leaf_begin = first, keep, at, begin
-        fresh_sizes, fresh_tokens, here = sizes[:keep], tokens[:keep], at
+        # the old text from ``at`` on, leaf by leaf as far as it is needed, and its old boundaries behind the edit
+        old, last, reach = self.texts[first][at - begin :], first, begin + len(self.texts[first])
+        waiting, meets = [(first, begin)], set()  # leaves whose boundaries are not known yet; places in the new text
+
+        def more() -> bool:
+            nonlocal old, last, reach
+            while last + 1 < len(self.leaves):
+                last += 1
+                if self.texts[last]:
+                    waiting.append((last, reach))
+                    if reach >= end:
+                        meets.add(reach + shift - at)
+                    old, reach = old + self.texts[last], reach + len(self.texts[last])
+                    return True
+            return False
+
+        while reach < end and more():
+            pass
+        fresh = old[: start - at] + new + old[end - at :]
+        fresh_sizes, fresh_tokens, here = sizes[:keep], tokens[:keep], 0
         while True:
-            while leaf < len(self.leaves) and (old < end or old + shift < here):
-                own = self._leaf(leaf, leaf_begin + (shift if leaf_begin >= end else 0))[0]
-                if place < len(own):
-                    old += own[place]
-                    place += 1
-                else:
-                    leaf_begin += self.sums[self.width + leaf][0]
-                    leaf, place = leaf + 1, 0
-            if old >= end and old + shift == here:
-                break
-            match = _PIECE.match(self.text, here)
-            if match is None:
+            while waiting and (waiting[0][1] < end or waiting[0][1] + shift - at < here):
+                k, place = waiting.pop(0)
+                meets.update(p + shift - at for p in accumulate(self._leaf(k)[0], initial=place) if p >= end)
+            if here in meets or here == len(fresh) and not more():
                 break
+            fresh = old[: start - at] + new + old[end - at :] if len(fresh) != len(old) + shift else fresh
+            match = _PIECE.match(fresh, here)
+            while match.end() + 2 > len(fresh) and more():
+                fresh = old[: start - at] + new + old[end - at :]
+                match = _PIECE.match(fresh, here)
             fresh_sizes.append(match.end() - here)
             fresh_tokens.append(self.count(match.group()))
             here = match.end()
             self.encoded += 1
-        rest_sizes, rest_tokens = [], []
-        if leaf < len(self.leaves) and (place or leaf == first):
-            own = self._leaf(leaf, leaf_begin + (shift if leaf_begin >= end else 0))
-            rest_sizes, rest_tokens = own[0][place:], own[1][place:]
-            last = leaf
-        else:  # the next leaf begins where old and new meet: it stays as it is
-            last = leaf - 1
-        if last > first:
-            self.leaves[last] = (rest_sizes, rest_tokens)
-        else:
-            fresh_sizes, fresh_tokens = fresh_sizes + rest_sizes, fresh_tokens + rest_tokens
-        self.leaves[first] = (fresh_sizes, fresh_tokens)
-        for k in range(first + 1, last):
-            self.leaves[k] = ([], [])
-        for k in range(first, last + 1):
-            self.sums[self.width + k] = (sum(self.leaves[k][0]), sum(self.leaves[k][1]))
+        # old pre-tokens of the leaf in which old and new meet
+        meeting, k, place = here - shift + at, first, begin
+        while k < last and place + len(self.texts[k]) <= meeting:
+            place += len(self.texts[k])
+            k += 1
+        text = self.texts[first][: at - begin] + fresh[:here]
+        if k > first and place == meeting and self.texts[k]:
+            k -= 1  # the next leaf begins there: it stays as it is
+        elif meeting < place + len(self.texts[k]):
+            own, passed = self._leaf(k), 0
+            while place < meeting:
+                place += own[0][passed]
+                passed += 1
+            fresh_sizes, fresh_tokens = fresh_sizes + own[0][passed:], fresh_tokens + own[1][passed:]
+            text += self.texts[k][len(self.texts[k]) - sum(own[0][passed:]) :]
+        self._fill(first, k, fresh_sizes, fresh_tokens, text)
+
+    def _fill(self, first: int, last: int, sizes: list[int], tokens: list[int], text: str) -> None:
+        """Put pre-tokens in the place of leaves ``first`` to ``last``: in those leaves if they can hold them, or else in
+        as many new ones as that takes."""
+        room = last - first + 1
+        parts = max(1, -(-len(sizes) // (2 * self.leaf)))
+        inside = parts <= room
+        each = -(-len(sizes) // parts) or 1 if inside else self.leaf
+        leaves = [(sizes[k : k + each], tokens[k : k + each]) for k in range(0, len(sizes), each)]
+        if inside:
+            leaves += [([], [])] * (room - len(leaves))
+        ends = list(accumulate(sum(s) for s, _ in leaves))
+        texts = [text[e - sum(s) : e] for e, (s, _) in zip(ends, leaves, strict=True)]
+        before = self.leaf_sums()
+        self.leaves[first : last + 1], self.texts[first : last + 1] = leaves, texts
+        fresh = [(sum(s), sum(t)) for s, t in leaves]
+        if not inside:
+            self._plant(before[:first] + fresh + before[last + 1 :])
+            return
+        self.sums[self.width + first : self.width + last + 1] = fresh
         low, high = (self.width + first) // 2, (self.width + last) // 2
         while low:
             for k in range(low, high + 1):
@@ -182,8 +224,12 @@ def with_mask_edits(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, text string, edits array<struct<start:int,end:int,new:string>>")
 
 
-def keep_trees(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF) -> DataFrame:
-    """doc_id, leaf_chars and leaf_tokens of every row: the trees of the texts, to be kept beside them."""
+_TREE = "n_pretokens bigint, leaf_chars array<int>, leaf_tokens array<int>"
+
+
+def keep_trees(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_pretokens, leaf_chars and leaf_tokens of every row: the trees of the texts, to be kept beside them, with
+    the columns ``carry``. A null text has the tree of an empty one."""
     scratch.ship(docs.sparkSession)
     vocabulary = vocabulary or tokenizer.default_path()
 
@@ -192,20 +238,28 @@ def keep_trees(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                sums = [CountTree(text or "", count, leaf).leaf_sums() for text in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([[x[c] for x in s] for s in sums], type=pa.list_(pa.int32())) for c in (0, 1))], names=["doc_id", "leaf_chars", "leaf_tokens"])
+                trees = [CountTree(text or "", count, leaf) for text in part.column(0).to_pylist()]
+                sums = [t.leaf_sums() for t in trees]
+                columns = [pa.array([sum(len(s) for s, _ in t.leaves) for t in trees], type=pa.int64()), *(pa.array([[x[c] for x in s] for s in sums], type=pa.list_(pa.int32())) for c in (0, 1))]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=[*part.schema.names[1:], "n_pretokens", "leaf_chars", "leaf_tokens"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, leaf_chars array<int>, leaf_tokens array<int>")
+    kept = docs.select("doc_id", *carry)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields)
+    return docs.select(docs["text"].alias("text__"), "doc_id", *carry).mapInArrow(run, f"{columns}, {_TREE}")
 
 
-def recount(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, n_encoded and the edited text with its tree, from kept trees.
+def recount(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF, with_text: bool = True) -> DataFrame:
+    """doc_id, n_tokens, n_encoded, n_chars, n_edits and, if asked for, the edited text with its tree, from kept trees.
 
     ``docs`` has doc_id, text, edits, leaf_chars and leaf_tokens; only leaves that edits touch are encoded. A null tree
     is built anew.
     """
     scratch.ship(docs.sparkSession)
     vocabulary = vocabulary or tokenizer.default_path()
+    kinds = {"n_tokens": pa.int64(), "n_encoded": pa.int64(), "n_chars": pa.int64(), "n_edits": pa.int64()}
+    if with_text:
+        kinds |= {"text": pa.string(), "leaf_chars": pa.list_(pa.int32()), "leaf_tokens": pa.list_(pa.int32())}
+    carried = [c for c in docs.columns if c.startswith("carry_")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = tokenizer.load(vocabulary).count
@@ -213,46 +267,32 @@ def recount(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 out: list[tuple] = []
-                for text, edits, chars, tokens in zip(*(part.column(k).to_pylist() for k in range(1, 5)), strict=True):
+                for text, edits, chars, tokens in zip(*(part.column(k).to_pylist() for k in range(4)), strict=True):
                     kept = None if chars is None or tokens is None else list(zip(chars, tokens, strict=True))
-                    tree = CountTree(text or "", count, LEAF, kept)
-                    tree.edit_all([(e["start"] or 0, e["end"] or 0, e["new"] or "") for e in edits or [] if e])
-                    sums = tree.leaf_sums()
-                    out.append((tree.tokens, tree.encoded, tree.text, [c for c, _ in sums], [t for _, t in sums]))
-                columns = [list(c) for c in zip(*out, strict=True)]
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True))], names=["doc_id", "n_tokens", "n_encoded", "text", "leaf_chars", "leaf_tokens"])
+                    tree, edits = CountTree(text or "", count, leaf, kept), edits or []
+                    tree.edit_all([(e["start"] or 0, e["end"] or 0, e["new"] or "") for e in edits if e])
+                    row = (tree.tokens, tree.encoded, tree.sums[1][0], len(edits))
+                    out.append((*row, tree.text, *(list(c) for c in zip(*tree.leaf_sums(), strict=True))) if with_text else row)
+                columns = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([*part.columns[4:], *(pa.array(list(c), type=t) for c, t in zip(columns, kinds.values(), strict=True))], names=[*part.schema.names[4:], *kinds])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text", "edits", "leaf_chars", "leaf_tokens").mapInArrow(run, f"doc_id {kind}, n_tokens bigint, n_encoded bigint, text string, leaf_chars array<int>, leaf_tokens array<int>")
+    kept = docs.select("doc_id", *carried)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema.fields) + ", n_tokens bigint, n_encoded bigint, n_chars bigint, n_edits bigint" + ", text string, leaf_chars array<int>, leaf_tokens array<int>" * with_text
+    return docs.select("text", "edits", "leaf_chars", "leaf_tokens", "doc_id", *carried).mapInArrow(run, schema)
 
 
 def count_edited(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF, with_text: bool = False) -> DataFrame:
     """doc_id, n_pretokens, n_tokens, n_edits, n_encoded, n_tokens_edited, n_chars_edited (and text_edited if asked for).
 
     ``docs`` has doc_id, text and ``edits``, an array of (start, end, new) in characters of the text, not overlapping.
-    A null text is empty, null edits are none, and in an edit null start and end are 0 and a null ``new`` deletes.
-    Every row is counted for itself, repeated ones too; an empty table gives an empty result. A special token's string
-    counts as ordinary text.
+    The texts' trees are kept as a table first; the edits then read that table and encode what they touch only:
+    n_encoded pre-tokens. A null text is empty, null edits are none, and in an edit null start and end are 0 and a null
+    ``new`` deletes. A text of any length is counted whole. Every row is counted for itself, repeated ones too; an empty
+    table gives an empty result. A special token's string counts as ordinary text.
     """
-    scratch.ship(docs.sparkSession)
-    vocabulary = vocabulary or tokenizer.default_path()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = tokenizer.load(vocabulary).count
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                out: dict[str, list] = {k: [] for k in names}
-                for text, edits in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    tree, edits = CountTree(text or "", count, leaf), edits or []
-                    pieces, before = sum(len(s) for s, _ in tree.leaves), tree.tokens
-                    tree.edit_all([(e["start"] or 0, e["end"] or 0, e["new"] or "") for e in edits if e])
-                    for key, value in zip(names, (pieces, before, len(edits), tree.encoded, tree.tokens, len(tree.text), tree.text), strict=False):
-                        out[key].append(value)
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(out[k], type=pa.string() if k == "text_edited" else pa.int64()) for k in names)], names=["doc_id", *names])
-
-    names = ["n_pretokens", "n_tokens", "n_edits", "n_encoded", "n_tokens_edited", "n_chars_edited", *["text_edited"] * with_text]
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, " + ", ".join(f"{k} {'string' if k == 'text_edited' else 'bigint'}" for k in names)
-    return docs.select("doc_id", "text", F.col("edits")).mapInArrow(run, schema)
+    trees = scratch.keep(keep_trees(docs, vocabulary, leaf, ("text", "edits")), "trees")
+    before = F.aggregate("leaf_tokens", F.lit(0).cast("long"), lambda s, x: s + x)
+    trees = trees.withColumns({"carry_pretokens": F.col("n_pretokens"), "carry_tokens": before})
+    found = recount(trees, vocabulary, leaf, with_text)
+    columns = [F.col("carry_pretokens").alias("n_pretokens"), F.col("carry_tokens").alias("n_tokens"), "n_edits", "n_encoded", F.col("n_tokens").alias("n_tokens_edited"), F.col("n_chars").alias("n_chars_edited")]
+    return found.select("doc_id", *columns, *[F.col("text").alias("text_edited")] * with_text)

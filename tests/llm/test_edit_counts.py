@@ -63,6 +63,29 @@ def test_an_edit_leaves_most_pretokens_alone():
     assert tree.encoded < 8
 
 
+@pytest.mark.parametrize("leaf", [1, 4, 64])
+def test_leaves_stay_bounded(leaf):
+    """Large insertions and deletions split leaves; later edits still encode a few leaves only."""
+    count = tokenizer.load(tokenizer.default_path()).count
+    rng = random.Random(leaf)
+    tree = CountTree("some words here and there " * 20, count, leaf)
+    for size in (3000, 1, 500, 0, 7):
+        a = rng.randrange(0, len(tree.text) + 1)
+        tree.edit(a, a + 40, "".join(rng.choice(ALPHABET) for _ in range(size)))
+        assert tree.tokens == brute(tree.text) and max(len(s) for s, _ in tree.leaves) <= 2 * leaf
+        assert [len(t) for t in tree.texts] == [c for c, _ in tree.leaf_sums()]
+    before = tree.encoded
+    tree.edit(len(tree.text) // 2, len(tree.text) // 2 + 1, "z")
+    assert tree.tokens == brute(tree.text) and tree.encoded - before <= 8 * leaf + 32
+
+
+def test_the_query_encodes_near_its_edits_only(spark):
+    text = "plain words without any data " * 3000 + "mail a@b.org " + "and some more words " * 3000
+    r = count_edited(with_mask_edits(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first()
+    assert r["n_edits"] == 2 and r["n_encoded"] <= 4 * 64 < r["n_pretokens"] / 50
+    assert r["n_tokens"] == brute(text) and r["n_tokens_edited"] == brute(text.replace("a@b.org", "<email>") + "\n")
+
+
 def test_rows(spark):
     text = "write to a.b@c.org or (555) 123-4567 now"
     docs = spark.createDataFrame([(1, text, "x"), (1, text, "x"), (2, None, "x"), (None, "", "x"), (3, "word " * 40000, None)], "doc_id long, text string, edits string")
