@@ -47,12 +47,17 @@ def inputs(raw: DataFrame) -> DataFrame:
     return _inputs(raw, "inputs")
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """Each input of a transaction once, at the first of its places."""
+    return rows.groupBy("tx_in_hash", "tx_out_hash", "tx_out_index").agg(F.min("tx_in_index").alias("tx_in_index")).select(*rows.columns)
+
+
 def collateral_inputs(raw: DataFrame) -> DataFrame:
-    return _inputs(raw, "collateral", ALONZO).dropDuplicates(["tx_in_hash", "tx_out_hash", "tx_out_index"])
+    return _once(_inputs(raw, "collateral", ALONZO))
 
 
 def reference_inputs(raw: DataFrame) -> DataFrame:
-    return _inputs(raw, "reference_inputs", BABBAGE).dropDuplicates(["tx_in_hash", "tx_out_hash", "tx_out_index"])
+    return _once(_inputs(raw, "reference_inputs", BABBAGE))
 
 
 def outputs(raw: DataFrame) -> DataFrame:
@@ -254,6 +259,10 @@ TABLES = {
 }
 
 
+#: Tables that are made together with another one, by the name that asks for both.
+PARTS = {"committee_deregistrations": "committee_registrations", "reserves": "treasuries"}
+
+
 def shred(raw: DataFrame, only: set[str] | None = None, labels: list[int] | None = None) -> dict[str, DataFrame]:
     """All tables of the blocks, or those named; a table that is not asked for is not planned at all."""
     out = {name: build(raw) for name, build in TABLES.items() if (only is None or name in only) and name != "tx_metadata"}

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chainloom.functions import checks, hashes, votes
-from chainloom.operators import offchain, sinks
+from chainloom.operators import offchain, shred, sinks
 from chainloom.plans.register import query
 from chainloom.sources import blocks as nested
 from chainloom.sources import ledger
@@ -149,25 +149,29 @@ def governance_json(spark, sf_dir):
     return parsed["documents"].join(authors, "id").join(docs.select("id", "reason"), "id").select("id.conv_id", "id.turn", "type", "language", "title", "author", "reason")
 
 
+def _number(hash_: str) -> F.Column:
+    """An order's key out of its transaction's hash."""
+    return F.conv(F.hex(hash_), 16, 10).cast("long")
+
+
 @query("SELECT tx_hash, idx, CAST(address AS VARCHAR) AS address, value FROM tx_outs WHERE tx_hash IN (SELECT tx_hash FROM txes)")
 def shred_outputs(spark, sf_dir):
     """Outputs of nested blocks, flat again."""
-    raw = nested.from_orders(spark, sf_dir)
-    rows = raw.select(F.explode("txs").alias("tx")).select("tx.tx_hash", F.posexplode("tx.outputs").alias("idx", "o"))
-    return rows.select("tx_hash", F.col("idx").cast("long").alias("idx"), "o.address", F.col("o.amount").alias("value"))
+    rows = shred.outputs(nested.stored(spark, sf_dir))
+    return rows.select(_number("tx_hash").alias("tx_hash"), F.col("index").cast("long").alias("idx"), "address", "value")
 
 
 @query("SELECT tx_in_hash, tx_out_hash, tx_out_index FROM tx_ins WHERE tx_in_hash IN (SELECT tx_hash FROM txes)")
 def shred_inputs(spark, sf_dir):
-    raw = nested.from_orders(spark, sf_dir)
-    rows = raw.select(F.explode("txs").alias("tx")).select(F.col("tx.tx_hash").alias("tx_in_hash"), F.explode("tx.inputs").alias("i"))
-    return rows.select("tx_in_hash", F.col("i.tx_hash").alias("tx_out_hash"), F.col("i.index").alias("tx_out_index"))
+    rows = shred.inputs(nested.stored(spark, sf_dir))
+    return rows.select(_number("tx_in_hash").alias("tx_in_hash"), _number("tx_out_hash").alias("tx_out_hash"), F.col("tx_out_index").cast("long").alias("tx_out_index"))
 
 
 @query("SELECT tx_hash, CAST(addr AS VARCHAR) AS addr, amount FROM withdrawals")
 def shred_withdrawals(spark, sf_dir):
-    raw = nested.from_orders(spark, sf_dir)
-    return raw.select(F.explode("txs").alias("tx")).select("tx.tx_hash", F.explode("tx.withdrawals").alias("addr", "amount"))
+    """Withdrawals of all blocks, those of the first era too, which the ledger's own table leaves out."""
+    rows = nested.stored(spark, sf_dir).select(F.explode("txs").alias("tx"))
+    return rows.select(_number("tx.hash").alias("tx_hash"), F.explode("tx.withdrawals").alias("addr", "amount"))
 
 
 @query()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainloom import folders
 from chainloom.sources import ledger
 
 _INPUT = "struct<tx_hash:binary,index:int>"
@@ -22,13 +23,83 @@ def tx_hash(key) -> F.Column:
     return F.unhex(F.lpad(F.hex(key), 64, "0"))
 
 
+#: Transactions of a block at most.
+BLOCK_TXS = 64
+_ERA_SLOTS, _BLOCK_SLOTS = 20_000_000, 20
+
+
+def _h(key: str) -> str:
+    return f"unhex(lpad(hex({key}), 64, '0'))"
+
+
+def _sha(text: str) -> str:
+    return f"unhex(sha2({text}, 256))"
+
+
+def _sha28(text: str) -> str:
+    return f"substring({_sha(text)}, 1, 28)"
+
+
+def _in(key: str, index: str) -> str:
+    return f"named_struct('tx_hash', {_h(key)}, 'index', cast({index} as int))"
+
+
+def _some(condition: str, *items: str) -> str:
+    return f"if({condition}, array({', '.join(items)}), null)"
+
+
+_CERTIFICATES = f"""array(
+  named_struct('type', cast(k % 19 as int), 'credential', {_sha28("concat('cred', c)")}, 'pool', {_sha28("concat('pool', k % 10)")}, 'epoch', 300 + k % 10, 'pledge', k, 'cost', 340000000L, 'margin', (k % 10) / 100D,
+    'reward_account', concat(unhex('E1'), {_sha28("concat('rw', c)")}), 'owners', array({_sha28("'o'")}, {_sha28("concat('o', k)")}),
+    'relays', array(named_struct('type', 0, 'ipv4', '1.2.3.4', 'ipv6', '::1', 'hostname', cast(null as string), 'port', 3001), named_struct('type', 1, 'ipv4', null, 'ipv6', null, 'hostname', concat('relay', k), 'port', 3002),
+      named_struct('type', 2, 'ipv4', null, 'ipv6', null, 'hostname', concat('srv', k), 'port', 9)),
+    'metadata_url', concat('http://pool/', k % 10), 'metadata_hash', {_sha("concat('meta', k % 10)")}, 'drep', case k % 3 when 0 then 'abstain' when 1 then 'no_confidence' end, 'drep_hash', {_sha28("concat('drep', k)")},
+    'hot', {_sha28("concat('hot', k)")}, 'anchor_url', if(k % 2 = 0, concat('http://a/', k), null), 'anchor_hash', {_sha("concat('a', k)")}, 'deposit', 500L, 'pot', cast(1 + k % 2 as int), 'other_pot', k % 5),
+  named_struct('type', 999, 'credential', null, 'pool', null, 'epoch', null, 'pledge', null, 'cost', null, 'margin', null, 'reward_account', null, 'owners', null, 'relays', null, 'metadata_url', null, 'metadata_hash', null,
+    'drep', null, 'drep_hash', null, 'hot', null, 'anchor_url', null, 'anchor_hash', null, 'deposit', null, 'pot', null, 'other_pot', null))"""
+_VOTES = _some("k % 2 = 0", f"named_struct('voter_type', cast(k % 6 as int), 'voter', {_sha28("concat('v', k)")}, 'action_tx', {_h('k + 1')}, 'action_index', cast(k % 3 as int), 'vote', cast(k % 4 as int), 'anchor_url', if(k % 4 = 0, null, concat('http://v/', k)), 'anchor_hash', {_sha("concat('v', k)")})", f"named_struct('voter_type', cast((k + 1) % 6 as int), 'voter', {_sha28("concat('w', k)")}, 'action_tx', {_h('k + 2')}, 'action_index', 0, 'vote', cast((k + 1) % 4 as int), 'anchor_url', cast(null as string), 'anchor_hash', cast(null as binary))")
+_PROPOSALS = _some("k % 3 = 0", f"""named_struct('type', element_at(array('ParameterChange', 'TreasuryWithdrawal', 'UpdateCommittee', 'NewConstitution'), cast(1 + k % 4 as int)), 'deposit', k, 'anchor_url', concat('http://p/', k), 'anchor_hash', {_sha("concat('p', k)")},
+  'withdrawals', map(concat('stake', c), k), 'members', map(concat('m', c), 600 + k % 10), 'script_hash', if(k % 8 = 3, null, {_sha28("concat('c', k)")}), 'quorum', if(k % 8 = 2, 0.6D, null), 'parameters', map('p1', cast(k as string), 'p2', 'x'),
+  'previous_tx', if(k % 2 = 0, {_h('k - 1')}, null), 'previous_index', if(k % 2 = 0, 0, null))""")
+#: A transaction of an order: k its key, c its customer, with its items and the items returned of the order before.
+_TX = f"""named_struct('hash', {_h('k')}, 'size', cast(k % 5000 as int), 'fee', fee, 'ttl', k % 4 * 1000, 'validity_start', k % 3 * 10, 'is_valid', if(k % 5 = 0, null, k % 5 <> 1), 'total_collateral', k % 7, 'donation', k % 11,
+  'inputs', inputs, 'outputs', transform(items, (x, i) -> named_struct('address', cast(x.l_suppkey as string), 'address_raw', if(x.l_suppkey % 2 = 0, concat(unhex('01'), {_sha("cast(x.l_suppkey as string)")}, substring({_sha("concat('x', x.l_suppkey)")}, 1, 24)), null),
+    'amount', x.value, 'datum_hash', if(i % 4 = 0, {_sha("concat('d', k)")}, null), 'inline_datum', if(i % 5 = 1, encode(concat('datum ', k % 50), 'UTF-8'), null),
+    'assets', if(i % 2 = 0, map(substring(sha2(concat('policy', x.l_suppkey % 7), 256), 1, 56), map(hex(concat('n', i)), x.value % 3)), null))),
+  'collateral', {_some("k % 2 = 0", _in("k + 7", "1"), _in("k + 7", "1"), _in("k + 8", "0"))}, 'reference_inputs', {_some("k % 3 = 0", _in("k + 9", "2"))},
+  'collateral_return', if(k % 4 = 0, named_struct('address', if(k % 8 = 0, repeat('r', 101), concat('ret', c)), 'address_raw', {_sha("concat('ret', c)")}, 'amount', k, 'datum_hash', null, 'inline_datum', null, 'assets', null), null),
+  'required_signers', {_some("k % 3 = 1", _sha28("concat('s', c)"), _sha28("concat('t', c)"))}, 'mint', if(k % 2 = 1, map(concat(substring(sha2(concat('policy', k % 7), 256), 1, 56), '.', hex('m')), k % 13 - 6), null),
+  'metadata', map(721, concat('{{"k": ', k, '}}'), cast(k % 20 as int), 'x'), 'certificates', {_CERTIFICATES}, 'withdrawals', if(status = 'F', map(cast(c as string), paid), null),
+  'scripts', {_some("k % 3 = 0", "named_struct('type', 'plutusV2', 'bytes', encode(concat('script ', k % 40), 'UTF-8'))")}, 'datums', {_some("k % 4 = 1", "encode(concat('datum ', k % 50), 'UTF-8')")},
+  'redeemers', {_some("k % 5 = 2", "named_struct('tag', cast(k % 6 as int), 'index', cast(k % 3 as int), 'data', encode(concat('r', k), 'UTF-8'), 'mem', k, 'steps', 2 * k)")}, 'votes', {_VOTES}, 'proposals', {_PROPOSALS})"""
+
+
 def from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks of a day's orders: transactions with outputs, spent outputs and a withdrawal, nested by grouping."""
-    outs = ledger.tx_outs(spark, sf_dir).select("tx_hash", F.struct("idx", F.struct(F.col("address").cast("string").alias("address"), F.col("value").alias("amount")).alias("o")).alias("x"))
-    outs = outs.groupBy("tx_hash").agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["o"]).alias("outputs"))
-    ins = ledger.tx_ins(spark, sf_dir).select(F.col("tx_in_hash").alias("tx_hash"), F.struct(F.col("tx_out_hash").alias("tx_hash"), F.col("tx_out_index").alias("index")).alias("x"))
-    ins = ins.groupBy("tx_hash").agg(F.array_sort(F.collect_list("x")).alias("inputs"))
-    paid = ledger.withdrawals(spark, sf_dir).select("tx_hash", F.create_map(F.col("addr").cast("string"), "amount").alias("withdrawals"))
-    txs = ledger.txes(spark, sf_dir).select("tx_hash", "slot_no", "fee").join(outs, "tx_hash", "left").join(ins, "tx_hash", "left").join(paid, "tx_hash", "left")
-    tx = F.struct("tx_hash", "fee", "outputs", "inputs", "withdrawals")
-    return txs.groupBy(F.col("slot_no").alias("slot")).agg(F.array_sort(F.collect_list(tx), lambda a, b: F.when(a["tx_hash"] < b["tx_hash"], -1).when(a["tx_hash"] > b["tx_hash"], 1).otherwise(0)).alias("txs"))
+    """Blocks of at most BLOCK_TXS orders with neighbouring keys, of all eras in turn, with every field filled.
+
+    The items of an order are grouped once; those returned are spent by the next order.
+    """
+    lines = ledger.table(spark, sf_dir, "lineitem")
+    order = [c for c in lines.columns if c != "l_orderkey"]
+    items = lines.groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_list(F.struct(*order, ledger.cents("l_extendedprice").alias("value")))).alias("items"))
+    spent = "filter(transform(items, (x, i) -> if(x.l_returnflag = 'R', named_struct('tx_hash', " + _h("k") + ", 'index', i), null)), x -> x is not null)"
+    inputs = items.select((F.col("k") + 1).alias("k"), F.expr(spent).alias("inputs")).where("size(inputs) > 0")
+    cents = ledger.cents("o_totalprice")
+    txs = ledger.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_orderstatus").alias("status"), F.floor(cents / 1000).cast("long").alias("fee"), F.floor(cents / 100).cast("long").alias("paid"))
+    txs = txs.join(items, "k", "left").join(inputs, "k", "left").select(F.floor(F.col("k") / BLOCK_TXS).cast("long").alias("b"), F.expr(_TX).cast(TX).alias("tx"))
+    whole = txs.groupBy("b").agg(F.array_sort(F.collect_list("tx"), lambda a, b: F.when(a["hash"] < b["hash"], -1).when(a["hash"] > b["hash"], 1).otherwise(0)).alias("txs"))
+    row = [f"{_sha("concat('block ', b)")} as hash", f"if(b = 0, unhex(repeat('0', 64)), {_sha("concat('block ', b - 1)")}) as prev_hash", f"b % 8 * {_ERA_SLOTS} + floor(b / 8) * {_BLOCK_SLOTS} as slot", "b as block_no", "cast(b % 8 as int) as block_type", f"if(b % 3 = 0, null, {_sha("concat('issuer ', b)")}) as issuer_vkey", "cast(b % 1000 as int) as body_size", f"{_sha("concat('vrf ', b)")} as vrf_key", "txs"]
+    return whole.selectExpr(*row)
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``from_orders`` written once for each application and data set, so that each table is shredded from Parquet."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED or not folders.exists(spark, _STORED[key]):
+        path = folders.new(spark, "blocks")
+        from_orders(spark, sf_dir).write.option("compression", "zstd").parquet(path)
+        _STORED[key] = path
+    return spark.read.schema(BLOCK).parquet(_STORED[key])
