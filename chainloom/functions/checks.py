@@ -16,11 +16,11 @@ def asset(policy: Column, name: Column) -> Column:
 
 
 def withdrawal(amount: Column) -> Column:
-    return F.when(amount <= 0, "withdrawal amount cannot be zero").when(amount > MOST_LOVELACE, "withdrawal amount exceeds maximum possible")
+    return F.when(amount <= 0, "nothing to withdraw").when(amount > MOST_LOVELACE, "more than there is")
 
 
 def metadata(json: Column) -> Column:
-    return F.when(F.octet_length(json) > METADATA_BYTES, "metadata value too large")
+    return F.when(F.octet_length(json) > METADATA_BYTES, "metadata over the limit")
 
 
 def url(text: Column) -> Column:

@@ -20,12 +20,19 @@ def statistics(errors: DataFrame, by: str) -> DataFrame:
 
 
 def evict_oldest(errors: DataFrame, last_seen: str, key: str, percent: int = 10) -> DataFrame:
-    """Without the oldest ``percent`` of the rows by time last seen, ties in the order of the key.
+    """Without the oldest ``percent`` of the rows (one at least) by time last seen, ties in the order of the key.
 
-    The cut is the row at that rank; a top-k finds it without sorting everything into one partition.
+    Rows are dealt to ranges of (time, key) and numbered within theirs; the sizes of the ranges, one row each, give the
+    number of rows before a range.
     """
-    n = F.broadcast(errors.agg(F.percentile_approx(last_seen, percent / 100, 1_000_000).alias("cut")))
-    return errors.crossJoin(n).where(F.col(last_seen) > F.col("cut")).drop("cut")
+    dealt = errors.repartitionByRange(last_seen, key).sortWithinPartitions(last_seen, key)
+    numbered = dealt.withColumn("part__", F.spark_partition_id()).withColumn("place__", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    sizes = numbered.groupBy("part__").agg(F.count(F.lit(1)).alias("n__"))
+    before = F.coalesce(F.sum("n__").over(Window.orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = F.sum("n__").over(Window.orderBy("part__").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ranges = F.broadcast(sizes.select("part__", before.alias("before__"), F.greatest(F.floor(whole * percent / 100), F.lit(1)).alias("evicted__")))
+    kept = numbered.join(ranges, "part__").where(F.col("before__") + F.col("place__") >= F.col("evicted__"))
+    return kept.select(*errors.columns)
 
 
 def newer_than(errors: DataFrame, last_seen: str, interval: str) -> DataFrame:
@@ -45,8 +52,14 @@ def report(errors: DataFrame, severity: str, last_seen: str, key: str, most: int
 
 
 def gaps(events: DataFrame, ts: str, key: str, seconds: int) -> DataFrame:
-    """Pauses longer than ``seconds`` between the events of a key, with where they begin and end."""
-    before = F.lag(ts).over(Window.partitionBy(key).orderBy(ts))
-    rows = events.withColumn("before", before).where("before is not null")
+    """Pauses longer than ``seconds`` between the events of a key, with where they begin and end.
+
+    Events are put in order within a key's days; a window over one row for each key and day joins the days' edges.
+    """
+    rows = events.select(key, ts, F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 86400).alias("day__"))
+    inside = rows.withColumn("before", F.lag(ts).over(Window.partitionBy(key, "day__").orderBy(ts)))
+    days = rows.groupBy(key, "day__").agg(F.min(ts).alias(ts), F.max(ts).alias("last__"))
+    edges = days.withColumn("before", F.lag("last__").over(Window.partitionBy(key).orderBy("day__")))
+    rows = inside.select(key, ts, "before").unionByName(edges.select(key, ts, "before")).where("before is not null")
     pause = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("before").cast("timestamp"))
     return rows.select(key, F.col("before").alias("gap_start"), F.col(ts).alias("gap_end"), pause.alias("gap_us")).where(F.col("gap_us") > seconds * 1_000_000)

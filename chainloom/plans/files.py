@@ -20,9 +20,8 @@ def insert_ignore(spark, sf_dir):
     """A table of small lines, and a batch of large ones of which only new keys are added."""
     items = ledger.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("quantity"), "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     keys = ["l_orderkey", "l_linenumber"]
-    order = _LINE.split(", ")
-    held = sinks.first_of_key(items.where("l_quantity <= 25"), keys, order)
-    added = sinks.first_of_key(items.where("l_quantity > 25"), keys, order).join(held.select(*keys), keys, "left_anti")
+    held = sinks.first_of_key(items.where("l_quantity <= 25"), keys)
+    added = sinks.insert_ignore(held, items.where("l_quantity > 25"), keys)
     return held.unionByName(added).select(*keys, "l_partkey", "l_suppkey", "quantity")
 
 
@@ -94,11 +93,11 @@ _RAW = "sha256(text) || sha256(text || 'x')"
 
 @query(f"""WITH a AS (SELECT doc_id, text, upper({_RAW}) AS h FROM documents) SELECT doc_id, substr(h, 3, 56) AS payment, CASE WHEN substr(h, 1, 1) <= '7' THEN substr(h, 59, 56) END AS stake,
 CAST(strpos('0123456789ABCDEF', substr(h, 2, 1)) - 1 AS INTEGER) AS network, substr(h, 73, 56) AS reward, 'stake1' || lower(substr(h, 3, 56)) AS stake_text,
-CASE WHEN length(text) > 2048 THEN CASE WHEN 11 + 2 * strlen(substr(text, 1, 1000)) <= 2048 THEN 'byron_long_' || lower(hex(encode(substr(text, 1, 1000)))) ELSE 'byron_hash_' || sha256(substr(text, 1, 1000)) END ELSE text END AS address FROM a""", views=False)
+CASE WHEN length(text) > 2048 THEN 'byron_hash_' || sha256(text) ELSE text END AS address FROM a""", views=False)
 def address_normalise(spark, sf_dir):
     docs = ledger.table(spark, sf_dir, "documents")
     raw = F.unhex(F.concat(F.sha2("text", 256), F.sha2(F.concat("text", F.lit("x")), 256)))
-    named = hashes.normal_address(F.col("text"), F.encode(F.substring("text", 1, 1000), "UTF-8"), F.lit(0))
+    named = hashes.normal_address(F.col("text"), F.encode("text", "UTF-8"), F.lit(0))
     return docs.select("doc_id", F.hex(hashes.payment_credential(raw)).alias("payment"), F.hex(hashes.stake_credential(raw)).alias("stake"), hashes.network_id(raw).alias("network"), F.hex(hashes.reward_account_hash(raw)).alias("reward"), hashes.stake_address_text(hashes.payment_credential(raw)).alias("stake_text"), named.alias("address"))
 
 
@@ -118,8 +117,8 @@ def numeric_ids(spark, sf_dir):
     return docs.select("doc_id", hashes.pseudo_id(F.sha2("text", 256)).alias("id"), hashes.text_key(F.col("lang")).cast("long").alias("key"))
 
 
-@query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'scheme not allowed' WHEN page_id % 4 = 1 THEN 'missing host' END AS url, CASE WHEN strlen(html) > 16384 THEN 'metadata value too large' END AS metadata,
-CASE WHEN page_id % 9 = 0 THEN 'withdrawal amount cannot be zero' WHEN page_id % 9 = 1 THEN 'withdrawal amount exceeds maximum possible' END AS withdrawal,
+@query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'scheme not allowed' WHEN page_id % 4 = 1 THEN 'missing host' END AS url, CASE WHEN strlen(html) > 16384 THEN 'metadata over the limit' END AS metadata,
+CASE WHEN page_id % 9 = 0 THEN 'nothing to withdraw' WHEN page_id % 9 = 1 THEN 'more than there is' END AS withdrawal,
 CASE WHEN page_id % 3 = 0 THEN 'invalid policy ID length' WHEN page_id % 5 = 0 THEN 'asset name too long' END AS asset FROM pages""", views=False)
 def validators(spark, sf_dir):
     page = F.col("page_id")

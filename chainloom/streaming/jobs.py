@@ -6,17 +6,16 @@ failure leaves the same table.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chainloom import folders
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the session's checkpoint folder; in a temporary one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="chainloom-stream-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+#: Slots that a restart goes back behind the last stored block, for rollbacks.
+SAFETY_SLOTS = 20
 
 
 def replay(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
@@ -37,22 +36,53 @@ def run(stream: DataFrame, where: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{where}/out")
 
 
-def merge_batches(stream: DataFrame, where: str, merge, schema: str) -> DataFrame:
-    """Keep a table up to date batch by batch: ``merge(state, batch)`` gives its next version.
+def _state(spark: SparkSession, where: str, below: int | None = None) -> dict[str, list[str]]:
+    """Folders of each part of the state, newest last, out of versions that are complete and older than ``below``."""
+    found: dict[str, list[str]] = {}
+    versions = sorted(int(v[1:]) for v in folders.names(spark, where) if re.fullmatch(r"v\d+", v))
+    for v in (v for v in versions if below is None or v < below):
+        inside = folders.names(spark, f"{where}/v{v}")
+        for part in inside if "_SUCCESS" in inside else []:
+            if part.startswith("part__="):
+                found.setdefault(part.partition("=")[2], []).append(f"{where}/v{v}/{part}")
+    return found
 
-    Version n follows from version n - 1 and batch n alone; a repeated batch writes the same version again.
+
+def _read(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def merge_batches(stream: DataFrame, where: str, aggregate: Callable[[DataFrame], DataFrame], combine: Callable[[DataFrame], DataFrame], schema: str, part: Column) -> DataFrame:
+    """Keep a table up to date batch by batch, and return it as it stands on disk.
+
+    ``aggregate(batch)`` gives rows of the table's schema and ``combine(rows)`` merges rows with one key. ``part``, a
+    small integer made of the key, cuts the table: a batch rewrites the parts that it touches only. Version n of a part
+    follows from its older versions and batch n alone, so that a repeated batch writes the same again; what a complete
+    version has replaced is removed by the batch after it. A restart without new batches finds the last versions.
     """
     spark = stream.sparkSession
-    last = {"path": None}
 
     def step(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        old = session.read.schema(schema).parquet(f"{where}/v{number - 1}") if number else session.createDataFrame([], schema)
-        merge(old, batch).write.mode("overwrite").parquet(f"{where}/v{number}")
-        last["path"] = f"{where}/v{number}"
+        state = _state(session, where, number)
+        for paths in state.values():
+            for path in paths[:-1]:
+                folders.remove(session, path)
+        fresh = aggregate(batch).withColumn("part__", part).persist()
+        touched = [str(r[0]) for r in fresh.select("part__").distinct().collect()]  # bounded by the number of parts
+        old = _read(session, [state[p][-1] for p in touched if p in state], schema).withColumn("part__", part)
+        merged = combine(old.unionByName(fresh).drop("part__")).withColumn("part__", part)
+        merged.repartition("part__").write.mode("overwrite").partitionBy("part__").parquet(f"{where}/v{number}")
+        fresh.unpersist()
 
     stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{where}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(schema).parquet(last["path"]) if last["path"] else spark.createDataFrame([], schema)
+    return _read(spark, [paths[-1] for paths in _state(spark, where).values()], schema)
+
+
+def resume_slot(blocks: DataFrame, margin: int = SAFETY_SLOTS) -> DataFrame:
+    """One row: the slot from which a restart reads again, 0 where nothing is stored."""
+    last = F.coalesce(F.max("slot_no"), F.lit(0))
+    return blocks.agg(F.greatest(last - margin, F.lit(0)).cast("long").alias("slot_no"))
 
 
 def rate_windows(events: DataFrame, ts: str, width: str, late: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -39,22 +39,29 @@ class ProgressLog(StreamingQueryListener):
 def at_new_epochs(action: Callable[[DataFrame, int], None], epoch: str = "epoch_no") -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: call ``action(batch, epoch)`` for each epoch that a batch begins, in order.
 
-    An epoch begins with the first block seen of it. After a restart the last epoch may be announced again, so that
-    actions have to be idempotent, as upserts of an epoch's rows are.
+    An epoch begins with the first block seen of it, in whatever order blocks come. After a restart the epochs of the
+    batch that is repeated may be announced again, so that actions have to be idempotent, as upserts of an epoch's rows are.
     """
-    seen = {"last": None}
+    seen: set = set()
 
     def step(batch: DataFrame, _: int) -> None:
-        fresh = batch.select(F.col(epoch)).distinct()
-        if seen["last"] is not None:
-            fresh = fresh.where(F.col(epoch) > seen["last"])
-        for row in fresh.orderBy(epoch).collect():  # epochs that one batch begins: very few
-            action(batch, row[0])
-            seen["last"] = row[0]
+        for row in batch.select(F.col(epoch)).distinct().orderBy(epoch).collect():  # epochs of one batch: very few
+            if row[0] not in seen:
+                action(batch, row[0])
+                seen.add(row[0])
 
     return step
 
 
+def slots_behind(slot: Column, tip: Column) -> Column:
+    return F.greatest(tip - slot, F.lit(0).cast("long"))
+
+
+def is_near_tip(slot: Column, tip: Column, most_behind: int = 3600) -> Column:
+    """``near_tip`` of columns."""
+    return slots_behind(slot, tip) <= most_behind
+
+
 def near_tip(slot: int, tip: int, most_behind: int = 3600) -> bool:
     """Whether live queries of the ledger's state make sense yet."""
     return max(0, tip - slot) <= most_behind
