@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chainloom import folders
+
 _SHIPPED: set[str] = set()
 
 
@@ -38,15 +39,9 @@ def ship(spark: SparkSession) -> None:
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder URI below the session's checkpoint folder; one is made only where none is set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="chainloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """A new folder URI below the session's checkpoint folder."""
     ship(spark)
-    if "://" not in base and base.startswith("/"):
-        base = "file://" + base
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return folders.new(spark, name)
 
 
 def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
@@ -58,10 +53,7 @@ def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of this module, through Hadoop's file systems."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    folders.remove(spark, path)
 
 
 def input_partitions(df: DataFrame) -> int:
