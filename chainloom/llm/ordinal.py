@@ -171,7 +171,8 @@ def _featurise(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, n
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Ordinal:
-    """Fit on at most ``sample`` rated documents of any length, those with the smallest hash of doc_id.
+    """Fit on at most ``sample`` rated documents of any length, those with the smallest hash of doc_id. Rated documents
+    without a text are not learnt from.
 
     The driver gets the chosen features that each of them has, not its text.
     """
@@ -185,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array(lists, type=pa.binary()), pa.array([n.tobytes() for n in numbers], type=pa.binary())], names=["grade", "hashed", "numbers"])
 
     # the sample's ids and grades are bounded by ``sample`` rows of 12 bytes
-    rated = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("grade", "text")
+    rated = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("grade", "text")
     found = scratch.keep(rated.mapInArrow(run, "grade int, hashed binary, numbers binary"), "rated")
     keys = informative(found)
 
