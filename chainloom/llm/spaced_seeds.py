@@ -107,20 +107,26 @@ def passes(length: int, equal: int, item: int) -> bool:
     return equal >= need and equal >= LEAST_SHARE * length
 
 
-def _diagonals(block: Block, hashed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Items and shifts of the diagonals on which a document's words have hits, some windows of the document at a time."""
-    first = np.array([0, len(hashed)])
+def _hits(block: Block, hashed: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in texts, in order, whose window under some mask the block holds, and the range of its equal hashes."""
     at, low, high = [], [], []
     for number, mask in block.masks:
         h, place = seeds(hashed, first, mask, number)
         hit = np.flatnonzero(block.filter[h >> np.uint64(64 - _FILTER_BITS)])
-        at.append(place[hit])
-        low.append(np.searchsorted(block.hashes, h[hit], "left"))
-        high.append(np.searchsorted(block.hashes, h[hit], "right"))
+        x, y = np.searchsorted(block.hashes, h[hit], "left"), np.searchsorted(block.hashes, h[hit], "right")
+        true = y > x
+        at.append(place[hit][true])
+        low.append(x[true])
+        high.append(y[true])
     at, low, high = map(np.concatenate, (at, low, high))
     order = np.argsort(at, kind="stable")
-    order = order[high[order] > low[order]]
-    at, low, n = at[order], low[order], (high - low)[order]
+    return at[order], low[order], high[order]
+
+
+def _diagonals(block: Block, hits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Items and shifts of the diagonals on which a document has hits, some windows of the document at a time."""
+    at, low, high = hits
+    n = high - low
     before = np.concatenate([[0], np.cumsum(n)])
     start = 0
     while start < len(at):
@@ -135,11 +141,11 @@ def _diagonals(block: Block, hashed: np.ndarray) -> Iterator[tuple[np.ndarray, n
         start = stop
 
 
-def matches(block: Block, hashed: np.ndarray) -> dict[int, tuple[int, int, int]]:
+def matches(block: Block, hashed: np.ndarray, hits: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> dict[int, tuple[int, int, int]]:
     """Items that overlap one document's words: place in block -> (begin, end, equal words) of the overlap with the most
     equal words, the first one of equals."""
     found: dict[int, tuple[int, int, int]] = {}
-    for items, shifts in _diagonals(block, hashed):
+    for items, shifts in _diagonals(block, _hits(block, hashed, np.array([0, len(hashed)])) if hits is None else hits):
         low = np.maximum(0, -shifts)
         size = np.minimum(np.diff(block.first)[items], len(hashed) - shifts) - low
         ends = np.cumsum(size)
@@ -187,13 +193,12 @@ def _hits_of_batch(block: Block, batch: pa.RecordBatch, column: str) -> Iterator
     """Row, item place, begin, end, equal words and item words of each overlap."""
     for start, _, data, offsets in words.chunks(batch, column):
         hashed, first = words.word_hashes(data, offsets)
-        candidate = np.zeros(len(offsets) - 1, dtype=bool)
-        for number, mask in block.masks:
-            h, at = seeds(hashed, first, mask, number)
-            hit = at[block.filter[h >> np.uint64(64 - _FILTER_BITS)]]
-            candidate[np.searchsorted(first, hit, side="right") - 1] = True
-        for row in np.flatnonzero(candidate).tolist():
-            for item, (begin, end, equal) in matches(block, hashed[first[row] : first[row + 1]]).items():
+        at, low, high = _hits(block, hashed, first)
+        cuts = np.searchsorted(at, first)
+        for row in np.flatnonzero(np.diff(cuts)).tolist():
+            own = slice(cuts[row], cuts[row + 1])
+            hits = at[own] - first[row], low[own], high[own]
+            for item, (begin, end, equal) in matches(block, hashed[first[row] : first[row + 1]], hits).items():
                 yield start + row, item, begin, end, equal, int(block.first[item + 1] - block.first[item])
 
 
