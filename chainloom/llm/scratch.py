@@ -44,9 +44,22 @@ def folder(spark: SparkSession, name: str) -> str:
     return folders.new(spark, name)
 
 
-def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Write ``df`` as a table in a new shared folder and read it again: this cuts its lineage."""
+#: Rows of a few numbers each that a task writes, where their number is known.
+SMALL_ROWS = 100_000
+
+
+def tasks_for(rows: int) -> int:
+    return rows // SMALL_ROWS + 1
+
+
+def keep(df: DataFrame, name: str, compression: str = "zstd", most: int | None = None) -> DataFrame:
+    """Write ``df`` as a table in a new shared folder and read it again: this cuts its lineage.
+
+    ``most`` is a bound on its rows, if one is known and they are small: no more tasks and files are made than they fill.
+    """
     spark = df.sparkSession
+    if most is not None and tasks_for(most) < int(spark.conf.get("spark.sql.shuffle.partitions")):
+        df = df.coalesce(tasks_for(most))
     path = folder(spark, name)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
