@@ -92,11 +92,15 @@ def test_stream_of_several_batches_equals_batch(spark, tmp_path):
     for k in range(3):
         spark.createDataFrame([(k * 10 + j, t + datetime.timedelta(minutes=j)) for j in range(10)], "id long, ts timestamp").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
 
-    def merge(old, batch):
-        return old.unionByName(batch.groupBy("ts").agg(F.count(F.lit(1)).alias("n"))).groupBy("ts").agg(F.sum("n").alias("n"))
+    def aggregate(batch):
+        return batch.groupBy("ts").agg(F.count(F.lit(1)).alias("n"))
+
+    def combine(rows):
+        return rows.groupBy("ts").agg(F.sum("n").alias("n"))
 
     stream = jobs.replay(spark, f"{tmp_path}/in")
-    got = jobs.merge_batches(stream, f"file://{tmp_path}/work", merge, "ts timestamp, n long")
+    part = F.pmod(F.unix_seconds("ts"), F.lit(2)).cast("int")
+    got = jobs.merge_batches(stream, f"file://{tmp_path}/work", aggregate, combine, "ts timestamp, n long", part)
     assert sorted(r["n"] for r in got.collect()) == [3] * 10
     once = jobs.run(jobs.once(stream, "ts", ["ts"], "1 hour"), f"file://{tmp_path}/once")
     assert once.count() == 10
