@@ -75,6 +75,12 @@ def op10_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op11_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainloom.llm.cross_parse import classify
+
+    return classify(table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainloom.llm.collocations import collocations
 
@@ -87,5 +93,5 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op3_ngram_trie, op4_lsh_forest, op5_ordinal_quality, op6_spaced_seeds, op7_page_diff, op8_edit_counts, op9_block_max, op10_concat_and_cut, op12_collocations, op13_filter_audit)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc_members, op2_minimax_shards, op3_ngram_trie, op4_lsh_forest, op5_ordinal_quality, op6_spaced_seeds, op7_page_diff, op8_edit_counts, op9_block_max, op10_concat_and_cut, op11_cross_parse, op12_collocations, op13_filter_audit)}
 ORACLES: dict[str, str] = {"op1_warc_members": sql.WARC_RECORDS, "op4_lsh_forest": sql.NEAR_DUPLICATES, "op9_block_max": sql.TOP_BY_BM25, "op12_collocations": sql.COLLOCATIONS, "op13_filter_audit": sql.FILTER_AUDIT}

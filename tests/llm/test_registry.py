@@ -33,10 +33,20 @@ CONTRACT = {
     "op3_ngram_trie": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
     "op4_lsh_forest": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op7_page_diff": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
+    "op11_cross_parse": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op10_concat_and_cut": {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint", "sequence_id": "bigint", "offset": "bigint"},
 }
 
 
+CONTRACT_12 = {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint"}
+CONTRACT_13 = {"part": "string", "filter_order": "string", "step": "int", **dict.fromkeys(["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"], "bigint")}
+
+
+def test_columns_of_reports(spark):
+    for name, columns in (("op12_collocations", CONTRACT_12), ("op13_filter_audit", CONTRACT_13)):
+        assert {c: t for c, t in registry.QUERIES[name](spark, DATA).dtypes if c in columns} == columns
+
+
 @pytest.mark.parametrize("name", sorted(CONTRACT))
 def test_columns_and_rows(spark, name):
     frame = registry.QUERIES[name](spark, DATA)
