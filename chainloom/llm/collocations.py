@@ -22,7 +22,7 @@ from chainloom.llm import scratch, words
 
 U64 = np.uint64
 #: Bytes of text whose runs are counted together; a longer text is cut between words.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: Bits of the bitmap for each frequent run, and the most bits that it is given: what goes to all tasks is at most 64 MB.
 BITS_EACH, MOST_BITS = 16, 1 << 29
 #: Rows that one task ranks.
