@@ -42,6 +42,16 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in system.listStatus(where)] if system.exists(where) else []
 
 
+def stamps(spark: SparkSession, path: str) -> list[str]:
+    """Name, size and time of all files of a table, in order."""
+    system, where = _path(spark, path)
+    found, files = [], system.listFiles(where, True)
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return sorted(found)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, where = _path(spark, path)
     system.delete(where, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chainloom.plans import chain, files, messages, monitoring, parameters, staking, streams, tables, wallets
+from chainloom.plans import chain, files, measures, messages, monitoring, parameters, staking, stored, streams, tables, wallets
 from chainloom.plans.register import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "chain", "files", "messages", "monitoring", "parameters", "staking", "streams", "tables", "wallets"]
+__all__ = ["ORACLES", "QUERIES", "chain", "files", "measures", "messages", "monitoring", "parameters", "staking", "stored", "streams", "tables", "wallets"]

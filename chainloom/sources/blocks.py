@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainloom import folders
-from chainloom.sources import ledger
+from chainloom.sources import ledger, ranges
 
 _INPUT = "struct<tx_hash:binary,index:int>"
 _OUTPUT = "struct<address:string,address_raw:binary,amount:bigint,datum_hash:binary,inline_datum:binary,assets:map<string,map<string,decimal(20,0)>>>"
@@ -95,11 +97,21 @@ def from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STORED: dict[tuple[str, str], str] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``from_orders`` written once for each application and data set, so that each table is shredded from Parquet."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def fingerprint(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
+    """A digest of the names, sizes and times of tables' files: what is derived from them holds as long as it is the same."""
+    return hashlib.sha256("\n".join(line for t in tables for line in folders.stamps(spark, f"{sf_dir}/{t}.parquet")).encode()).hexdigest()
+
+
+def stored_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where ``from_orders`` is stored, laid out by slot: once for each application and state of the orders' files."""
+    key = (spark.sparkContext.applicationId, fingerprint(spark, sf_dir, ["orders", "lineitem"]))
     if key not in _STORED or not folders.exists(spark, _STORED[key]):
         path = folders.new(spark, "blocks")
-        from_orders(spark, sf_dir).write.option("compression", "zstd").parquet(path)
+        ranges.lay_out(from_orders(spark, sf_dir), path)
         _STORED[key] = path
-    return spark.read.schema(BLOCK).parquet(_STORED[key])
+    return _STORED[key]
+
+
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored blocks, so that each table is shredded from Parquet."""
+    return spark.read.schema(BLOCK).parquet(stored_path(spark, sf_dir))

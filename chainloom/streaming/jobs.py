@@ -18,9 +18,14 @@ from chainloom import folders
 SAFETY_SLOTS = 20
 
 
-def replay(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
-    """A stream of a table's files, some in each batch. A table that is one file is read from its folder by name."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files)
+def replay(spark: SparkSession, path: str, files: int = 1, schema: str | None = None, base: str | None = None) -> DataFrame:
+    """A stream of a table's files, some in each batch. A table that is one file is read from its folder by name.
+
+    With ``schema`` the path may be a pattern; ``base`` is then the folder whose partition columns are read too.
+    """
+    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema).option("maxFilesPerTrigger", files)
+    if schema:
+        return reader.option("basePath", base or path).parquet(path)
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).isFile():
         folder, _, name = path.rstrip("/").rpartition("/")
@@ -36,7 +41,17 @@ def run(stream: DataFrame, where: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{where}/out")
 
 
-def _state(spark: SparkSession, where: str, below: int | None = None) -> dict[str, list[str]]:
+def run_open(stream: DataFrame, where: str) -> DataFrame:
+    """``run`` for sources that are not asked for all at once: batch by batch until nothing is left."""
+    query = stream.writeStream.format("parquet").outputMode("append").option("path", f"{where}/out").option("checkpointLocation", f"{where}/state").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{where}/out")
+
+
+def state(spark: SparkSession, where: str, below: int | None = None) -> dict[str, list[str]]:
     """Folders of each part of the state, newest last, out of versions that are complete and older than ``below``."""
     found: dict[str, list[str]] = {}
     versions = sorted(int(v[1:]) for v in folders.names(spark, where) if re.fullmatch(r"v\d+", v))
@@ -48,7 +63,7 @@ def _state(spark: SparkSession, where: str, below: int | None = None) -> dict[st
     return found
 
 
-def _read(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+def read_parts(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
@@ -64,19 +79,19 @@ def merge_batches(stream: DataFrame, where: str, aggregate: Callable[[DataFrame]
 
     def step(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        state = _state(session, where, number)
-        for paths in state.values():
+        held = state(session, where, number)
+        for paths in held.values():
             for path in paths[:-1]:
                 folders.remove(session, path)
         fresh = aggregate(batch).withColumn("part__", part).persist()
         touched = [str(r[0]) for r in fresh.select("part__").distinct().collect()]  # bounded by the number of parts
-        old = _read(session, [state[p][-1] for p in touched if p in state], schema).withColumn("part__", part)
+        old = read_parts(session, [held[p][-1] for p in touched if p in held], schema).withColumn("part__", part)
         merged = combine(old.unionByName(fresh).drop("part__")).withColumn("part__", part)
         merged.repartition("part__").write.mode("overwrite").partitionBy("part__").parquet(f"{where}/v{number}")
         fresh.unpersist()
 
     stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{where}/state").trigger(availableNow=True).start().awaitTermination()
-    return _read(spark, [paths[-1] for paths in _state(spark, where).values()], schema)
+    return read_parts(spark, [paths[-1] for paths in state(spark, where).values()], schema)
 
 
 def resume_slot(blocks: DataFrame, margin: int = SAFETY_SLOTS) -> DataFrame:
@@ -90,6 +105,13 @@ def rate_windows(events: DataFrame, ts: str, width: str, late: str) -> DataFrame
     return events.withWatermark(ts, late).groupBy(F.window(ts, width).alias("w")).agg(F.count(F.lit(1)).alias("events")).select(F.col("w.start").alias("start"), "events")
 
 
+def sessions(events: DataFrame, keys: list[str], ts: str, quiet: str, late: str) -> DataFrame:
+    """keys, first, until and events of spans of time in which no gap of a key is as long as ``quiet``, which is what
+    follows the last event. A span is final once the watermark has passed its end."""
+    spans = events.withWatermark(ts, late).groupBy(*keys, F.session_window(ts, quiet).alias("w"))
+    return spans.agg(F.count(F.lit(1)).alias("events")).select(*keys, F.col("w.start").alias("first"), F.col("w.end").alias("until"), "events")
+
+
 def once(events: DataFrame, ts: str, keys: list[str], late: str) -> DataFrame:
     """Each key's first event within the watermark."""
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
@@ -99,17 +121,21 @@ def once(events: DataFrame, ts: str, keys: list[str], late: str) -> DataFrame:
 LOG_SPAN = 1 << 16
 
 
-def resolve_rollbacks(events: DataFrame) -> DataFrame:
-    """Blocks that stand after a log of events (seq, kind, slot, hash): forward adds one, rollback drops those beyond.
+def standing(events: DataFrame) -> DataFrame:
+    """The forward rows of a log (seq, kind, slot, ...) that no later rollback to a slot before theirs undoes.
 
-    A block stands if no later rollback goes to a slot before it. The smallest slot of the later rollbacks is taken
-    within spans of the log by a window, and over all later spans by a window over one row for each span.
+    The smallest slot of the later rollbacks is taken within spans of the log by a window, and over all later spans by a
+    window over one row for each span.
     """
     rows = events.withColumn("span__", F.floor(F.col("seq") / LOG_SPAN))
     back = F.when(F.col("kind") == "rollback", F.col("slot"))
     inside = Window.partitionBy("span__").orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
     beyond = Window.orderBy(F.desc("span__")).rowsBetween(Window.unboundedPreceding, -1)
     spans = rows.groupBy("span__").agg(F.min(back).alias("own")).select("span__", F.min("own").over(beyond).alias("beyond__"))
-    marked = rows.withColumn("inside__", F.min(back).over(inside)).join(spans, "span__").withColumn("least", F.least("inside__", "beyond__"))
-    standing = marked.where("kind = 'forward' and (least is null or slot <= least)")
-    return standing.groupBy(F.col("slot").alias("slot_no"), "hash").agg(F.max("seq").alias("seq"))
+    marked = rows.withColumn("inside__", F.min(back).over(inside)).join(spans, "span__").withColumn("least__", F.least("inside__", "beyond__"))
+    return marked.where("kind = 'forward' and (least__ is null or slot <= least__)").select(*events.columns)
+
+
+def resolve_rollbacks(events: DataFrame) -> DataFrame:
+    """Blocks that stand after a log of events (seq, kind, slot, hash): forward adds one, rollback drops those beyond."""
+    return standing(events).groupBy(F.col("slot").alias("slot_no"), "hash").agg(F.max("seq").alias("seq"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 KEPT = 300
 
@@ -36,6 +37,44 @@ class ProgressLog(StreamingQueryListener):
         return spark.createDataFrame(self.rows, "stream string, batch long, at string, rows long, rows_in_per_second double, rows_done_per_second double")
 
 
+class Observed(StreamingQueryListener):
+    """Metrics that a stream observes under a name, one row for each batch that had any rows."""
+
+    def __init__(self, name: str):
+        self.name, self.rows = name, {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        found = event.progress.observedMetrics.get(self.name)
+        if found is not None and event.progress.numInputRows:
+            self.rows[event.progress.batchId] = tuple(found)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+    def follow(self, writer: DataStreamWriter, batches: int, patience: float = 30.0) -> None:
+        """Run a stream to its end. Reports come behind the batches: those of ``batches`` are waited for."""
+        streams = SparkSession.active().streams
+        streams.addListener(self)
+        try:
+            writer.start().awaitTermination()
+            until = time.monotonic() + patience
+            while len(self.rows) < batches and time.monotonic() < until:
+                time.sleep(0.05)
+        finally:
+            streams.removeListener(self)
+        if len(self.rows) < batches:
+            raise TimeoutError(f"{batches - len(self.rows)} of {batches} batches were not reported")
+
+    def table(self, spark: SparkSession, schema: str) -> DataFrame:
+        return spark.createDataFrame([self.rows[k] for k in sorted(self.rows)], schema)
+
+
 def at_new_epochs(action: Callable[[DataFrame, int], None], epoch: str = "epoch_no") -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: call ``action(batch, epoch)`` for each epoch that a batch begins, in order.
 
