@@ -8,6 +8,7 @@ that grows beyond twice its size is split.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -109,27 +110,30 @@ class CountTree:
             keep += 1
         # the old text from ``at`` on, leaf by leaf as far as it is needed, and its old boundaries behind the edit
         old, last, reach = self.texts[first][at - begin :], first, begin + len(self.texts[first])
-        waiting, meets = [(first, begin)], set()  # leaves whose boundaries are not known yet; places in the new text
+        waiting, meets = deque([(first, begin)]), set()  # leaves whose boundaries are not known yet; places in the new text
 
-        def more() -> bool:
+        def more(to: int = 0) -> bool:
+            """Leaves up to character ``to``, or else as many as double the old text, so that all are joined in linear time."""
             nonlocal old, last, reach
-            while last + 1 < len(self.leaves):
+            added, to = [], max(to, reach + len(old))
+            while last + 1 < len(self.leaves) and (reach < to or not added):
                 last += 1
                 if self.texts[last]:
                     waiting.append((last, reach))
                     if reach >= end:
                         meets.add(reach + shift - at)
-                    old, reach = old + self.texts[last], reach + len(self.texts[last])
-                    return True
-            return False
+                    added.append(self.texts[last])
+                    reach += len(self.texts[last])
+            old += "".join(added)
+            return bool(added)
 
-        while reach < end and more():
-            pass
+        if reach < end:
+            more(end)
         fresh = old[: start - at] + new + old[end - at :]
         fresh_sizes, fresh_tokens, here = sizes[:keep], tokens[:keep], 0
         while True:
             while waiting and (waiting[0][1] < end or waiting[0][1] + shift - at < here):
-                k, place = waiting.pop(0)
+                k, place = waiting.popleft()
                 meets.update(p + shift - at for p in accumulate(self._leaf(k)[0], initial=place) if p >= end)
             if here in meets or here == len(fresh) and not more():
                 break
@@ -190,9 +194,10 @@ class CountTree:
             self.edit(start, end, new)
 
 
-#: Personal data that the registered query masks; fixed patterns.
+#: Personal data that the registered query masks; fixed patterns. A name before @ is looked for from its beginning only,
+#: or from where the last mask ended, so that none of them goes back over what it has read.
 MASKS = {
-    "<email>": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "<email>": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "<phone>": r"(?:(?<!\d)\+?\d{1,3} ?)?\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
     "<ip>": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])",
 }

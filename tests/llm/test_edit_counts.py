@@ -1,10 +1,15 @@
 import random
+import re
+import time
 
 import pytest
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chainloom.llm import tokenizer
-from chainloom.llm.edit_counts import CountTree, count_edited, keep_trees, recount, with_mask_edits
+from chainloom.llm.edit_counts import MASKS, CountTree, count_edited, keep_trees, recount, with_mask_edits
 
 ALPHABET = ["a", "B", " ", "  ", "\n", "'s", "'re", "'", "9", "é", "ñandú", "!!", "\t ", "word", "<email>", "中文", " "]
 
@@ -96,3 +101,45 @@ def test_rows(spark):
         assert r["n_tokens_edited"] == brute(r["text_edited"])
     assert sum(r["text_edited"] == "write to <email> or <phone> now\n" for r in rows) == 2
     assert with_mask_edits(docs.limit(0)).count() == 0 and count_edited(with_mask_edits(docs.limit(0))).count() == 0
+
+
+PLAIN_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("ab.@@_%- é")), max_size=30))
+def test_the_mask_of_names_finds_what_a_plain_pattern_finds(text):
+    masks = [(m.start(), m.end()) for m in regex.finditer(MASKS["<email>"], text)]
+    assert masks == [(m.start(), m.end()) for m in re.finditer(PLAIN_EMAIL, text)]
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + " @", "a." * 500_000 + "@", "x@" + "a-" * 500_000, "a@" * 500_000, "(" * 1_000_000, "1." * 500_000])
+def test_masks_read_a_text_once(text):
+    began = time.monotonic()
+    for pattern in MASKS.values():
+        for _ in regex.finditer(pattern, text):
+            pass
+    assert time.monotonic() - began < 3
+
+
+def test_an_edit_over_many_leaves_joins_them_once():
+    count = tokenizer.load(tokenizer.default_path()).count
+    took = []
+    for n in (200_000, 800_000):
+        tree = CountTree("word and " * n, count, 16)
+        began = time.monotonic()
+        tree.edit(0, len(tree.text), "")
+        took.append(time.monotonic() - began)
+        assert tree.tokens == 0 and tree.text == ""
+    assert took[1] < 10 * took[0] + 0.2
+
+
+def test_edits_that_join_leaves_count_as_a_fresh_text():
+    count = tokenizer.load(tokenizer.default_path()).count
+    rng = random.Random(5)
+    for _ in range(60):
+        tree = CountTree("".join(rng.choice(["a", " ", "   ", "\n\n", "b", "1"]) for _ in range(rng.randrange(40, 200))), count, 2)
+        for _ in range(4):
+            a, n = rng.randrange(0, len(tree.text) + 1), rng.choice([0, 3, 40, 150])
+            tree.edit(a, min(len(tree.text), a + n), rng.choice(["", " ", "x", "\n" * 30]))
+            assert tree.tokens == brute(tree.text) and sum(sum(s) for s, _ in tree.leaves) == len(tree.text)
