@@ -171,11 +171,13 @@ def matches(block: Block, hashed: np.ndarray, hits: tuple[np.ndarray, np.ndarray
     return found
 
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_WORDS) -> Iterator[Block]:
-    """The benchmark in blocks of at most ``limit`` words, or one item where it alone is longer."""
+def blocks(benchmark: DataFrame, limit: int = BLOCK_WORDS, nameless: bool = False) -> Iterator[Block]:
+    """The benchmark in blocks of at most ``limit`` words, or one item where it alone is longer. Items without an id
+    are among them if asked for."""
     held: list[tuple[object, np.ndarray]] = []
     size = 0
-    for row in benchmark.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator(prefetchPartitions=False):
+    items = benchmark.select("item_id", "text").where("text is not null").where(F.lit(nameless) | F.col("item_id").isNotNull())
+    for row in items.toLocalIterator(prefetchPartitions=False):
         data = np.frombuffer(row["text"].encode(), dtype=np.uint8)
         hashed, _ = words.word_hashes(data, np.array([0, len(data)]))
         if not len(hashed):
@@ -250,8 +252,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found, with all their columns.
 
-    Nulls, short items, texts of any length, repeated rows and empty tables are treated as by ``find_overlaps``: rows
-    without text stay, and repeated rows go or stay together. Where the benchmark takes several blocks, each marks the
+    Nulls, short items, texts of any length, repeated rows and empty tables are treated as by ``find_overlaps``, but for
+    items without an id, which count here: rows without text stay, and repeated rows go or stay together. Where the benchmark takes several blocks, each marks the
     texts that it is found in (by 128 bits), and rows with a marked text go at the end.
     """
     spark: SparkSession = docs.sparkSession
@@ -260,7 +262,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int =
     names = [f"c{k}" for k in range(len(columns))]
     plain = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(columns, names, strict=True)))
     text = names[columns.index("text")]
-    found = blocks(benchmark, block_words)
+    found = blocks(benchmark, block_words, nameless=True)
     head = list(itertools.islice(found, 2))
 
     def dirty(block: Block, batch: pa.RecordBatch, column: str) -> np.ndarray:

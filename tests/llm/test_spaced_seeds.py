@@ -158,3 +158,10 @@ def test_masks_hit_long_stretches_too():
         for item in {length, 60}:
             most = max((k for k in range(length) if item >= ss.SHORT_ITEM and ss.passes(length, length - k, item)), default=-1)
             assert cost.min() > most
+
+
+def test_an_item_without_an_id_contaminates_too(spark):
+    item = " ".join(f"item{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, item), (2, "clean words of a document"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, item), (None, None)], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in ss.drop_contaminated(docs, bench).collect()) == [2, 3]
