@@ -172,12 +172,14 @@ def _featurise(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, n
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Ordinal:
     """Fit on at most ``sample`` rated documents of any length, those with the smallest hash of doc_id. Rated documents
-    without a text are not learnt from.
+    without a text are not learnt from; of rows that repeat a doc_id, one text is.
 
     The driver gets the chosen features that each of them has, not its text.
     """
     scratch.ship(docs.sparkSession)
-    chosen = grades(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).where("text is not null")
+    of_each = texts.groupBy("doc_id").agg(F.min("hash").alias("hash"))
+    chosen = of_each.join(grades(labels), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,8 +187,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
                 lists = [values[at[k] : at[k + 1]].astype(np.uint32).tobytes() for k in range(stop - start)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array(lists, type=pa.binary()), pa.array([n.tobytes() for n in numbers], type=pa.binary())], names=["grade", "hashed", "numbers"])
 
-    # the sample's ids and grades are bounded by ``sample`` rows of 12 bytes
-    rated = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("grade", "text")
+    # the sample's ids, grades and hashes are bounded by ``sample`` rows of 20 bytes
+    rated = texts.join(F.broadcast(chosen), ["doc_id", "hash"]).groupBy("doc_id", "grade").agg(F.min("text").alias("text")).select("grade", "text")
     found = scratch.keep(rated.mapInArrow(run, "grade int, hashed binary, numbers binary"), "rated")
     keys = informative(found)
 

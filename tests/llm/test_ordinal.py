@@ -122,3 +122,20 @@ def test_long_rated_documents_are_learnt_from(spark):
     labels = spark.createDataFrame([(k, 1 - k % 2, k % 2) for k in range(100)], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r["kept"] for r in ordinal.classify(docs, labels).collect()}
     assert all(got[k] == (k % 2 == 0) for k in range(120))
+
+
+def test_the_sample_is_filled_from_documents_that_have_a_text(spark, monkeypatch):
+    """Labels of no document do not count, and of rows that repeat an id one is learnt from."""
+    rows = [(k, f"good words here {k}" if k % 2 else "bad stuff there") for k in range(40)] + [(1, "good words here 1")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)] + [(k, 1, 0) for k in range(1000, 3000)], "doc_id long, quality int, toxic int")
+    seen = []
+    plain = ordinal.fit
+
+    def fit(sample, keys):
+        seen.extend(sample)
+        return plain(iter(seen), keys)
+
+    monkeypatch.setattr(ordinal, "fit", fit)
+    ordinal.train(docs, labels, sample=30)
+    assert len(seen) == 30
