@@ -12,7 +12,7 @@ CONTEXT = "https://github.com/cardano-foundation/CIPs/blob/master/CIP-0119/CIP-0
 
 
 def asset(policy: Column, name: Column) -> Column:
-    return F.when(F.length(policy) != POLICY_BYTES, "invalid policy ID length").when(F.length(name) > NAME_BYTES, "asset name too long")
+    return F.when(F.length(policy) != POLICY_BYTES, "a policy has 28 bytes").when(F.length(name) > NAME_BYTES, "a name has 32 bytes at most")
 
 
 def withdrawal(amount: Column) -> Column:

@@ -97,6 +97,11 @@ def collateral_outputs(raw: DataFrame) -> DataFrame:
     return rows.select("tx_hash", "index", hashes.collateral_address(F.col("o.address"), F.col("o.address_raw")).alias("address"), F.col("o.address_raw").alias("address_raw"), F.col("o.amount").alias("value"))
 
 
+def collateral_assets(assets: DataFrame, outputs: DataFrame) -> DataFrame:
+    """Asset rows (tx_hash, index, ...) to be written for collateral outputs: those whose output is there."""
+    return assets.join(outputs.select("tx_hash", "index"), ["tx_hash", "index"], "left_semi")
+
+
 def required_signers(raw: DataFrame) -> DataFrame:
     return _txs(raw, ALONZO).select("tx_hash", F.posexplode("tx.required_signers").alias("signer_index", "signer_hash"))
 

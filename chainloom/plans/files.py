@@ -119,7 +119,7 @@ def numeric_ids(spark, sf_dir):
 
 @query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'scheme not allowed' WHEN page_id % 4 = 1 THEN 'missing host' END AS url, CASE WHEN strlen(html) > 16384 THEN 'metadata over the limit' END AS metadata,
 CASE WHEN page_id % 9 = 0 THEN 'nothing to withdraw' WHEN page_id % 9 = 1 THEN 'more than there is' END AS withdrawal,
-CASE WHEN page_id % 3 = 0 THEN 'invalid policy ID length' WHEN page_id % 5 = 0 THEN 'asset name too long' END AS asset FROM pages""", views=False)
+CASE WHEN page_id % 3 = 0 THEN 'a policy has 28 bytes' WHEN page_id % 5 = 0 THEN 'a name has 32 bytes at most' END AS asset FROM pages""", views=False)
 def validators(spark, sf_dir):
     page = F.col("page_id")
     url = F.when(page % 4 == 0, F.concat(F.lit("ftp"), F.expr("substr(url, 5)"))).when(page % 4 == 1, "http:///nowhere").otherwise(F.col("url"))
@@ -183,3 +183,13 @@ def blake2b_ids(spark, sf_dir):
 def asset_fingerprint(spark, sf_dir):
     policy = F.substring(F.unhex(F.sha2(F.col("p_brand"), 256)), 1, 28)
     return ledger.table(spark, sf_dir, "part").select("p_partkey", hashes.asset_fingerprint(policy, F.encode("p_name", "UTF-8")).alias("fingerprint"))
+
+
+@query("""SELECT lower(lpad(to_hex(l_orderkey), 64, '0')) AS tx_hash, l_linenumber - 1 AS index, l_partkey AS asset, count(*) AS n FROM lineitem
+WHERE l_linenumber = 1 AND l_orderkey IN (SELECT o_orderkey FROM orders) AND l_orderkey % 4 = 0 AND l_orderkey // 64 % 8 >= 6 GROUP BY ALL""", views=False)
+def collateral_assets(spark, sf_dir):
+    """Assets of collateral outputs, each looked up before it is written; lines are the claims."""
+    claims = ledger.table(spark, sf_dir, "lineitem").select(nested.tx_hash(F.col("l_orderkey")).alias("tx_hash"), (F.col("l_linenumber") - 1).alias("index"), F.col("l_partkey").alias("asset"))
+    outputs = shred.collateral_outputs(nested.stored(spark, sf_dir))
+    found = shred.collateral_assets(claims, outputs).groupBy("tx_hash", "index", "asset").agg(F.count(F.lit(1)).alias("n"))
+    return found.withColumn("tx_hash", F.lower(F.hex("tx_hash")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from chainloom.functions import checkpoints, slots
 from chainloom.operators import rewards
 from chainloom.plans.register import query
 from chainloom.sources import ledger
@@ -18,6 +19,26 @@ def checkpoint_state(spark, sf_dir):
     return rows.select("epoch_no", "slot_no", F.to_json(F.struct("blocks", "txes")).alias("counts"), F.sha2(F.concat_ws("|", "epoch_no", "slot_no", "blocks", "txes"), 256).alias("integrity"))
 
 
+_ERA = "CASE WHEN slot >= 133660800 THEN 'Conway' WHEN slot >= 72316797 THEN 'Babbage' WHEN slot >= 39916797 THEN 'Alonzo' WHEN slot >= 23068794 THEN 'Mary' WHEN slot >= 16588738 THEN 'Allegra' WHEN slot >= 4492800 THEN 'Shelley' ELSE 'Byron' END"
+
+
+@query(f"""WITH s AS (SELECT o_orderkey * 9973 AS slot, o_orderstatus FROM orders),
+e AS (SELECT CASE WHEN slot < 4492800 THEN slot // 21600 ELSE 208 + (slot - 4492800) // 432000 END AS epoch_no, max(slot) AS slot, count(*) AS blocks, max(slot) - min(slot) AS seconds, bool_and(o_orderstatus = 'F') AS asked FROM s GROUP BY 1),
+f AS (SELECT *, {_ERA} AS era, CASE WHEN slot < 4492800 THEN 1506203091 + slot * 20 ELSE 1596059091 + slot - 4492800 END AS made FROM e),
+g AS (SELECT *, lag(era) OVER (ORDER BY epoch_no) AS before_, max(made) OVER () AS now_ FROM f)
+SELECT epoch_no, CASE WHEN asked THEN 'manual' WHEN before_ IS NULL OR era <> before_ THEN 'era_boundary' ELSE 'block_interval' END AS kind, now_ - made AS age, format('{{}} Era - Slot {{}} (Epoch {{}})', era, slot, epoch_no) AS progress,
+  CASE WHEN seconds > 0 THEN printf('%.2f blocks/sec', CAST(blocks AS DOUBLE) / seconds) END AS rate FROM g""", views=False)
+def checkpoint_progress(spark, sf_dir):
+    """A checkpoint for each epoch in words: its kind, age against the newest, era and rate. One row for each epoch meets
+    in the windows."""
+    slot = F.col("slot")
+    rows = ledger.table(spark, sf_dir, "orders").select((F.col("o_orderkey") * 9973).alias("slot"), "o_orderstatus")
+    rows = rows.groupBy(slots.epoch_of_slot(slot).alias("epoch_no")).agg(F.max("slot").alias("slot"), F.count(F.lit(1)).alias("blocks"), (F.max("slot") - F.min("slot")).alias("seconds"), F.min(F.col("o_orderstatus") == "F").alias("asked"))
+    rows = rows.withColumns({"era": slots.era_of_slot(slot), "made": slots.time_of_slot(slot)})
+    before, now = F.lag("era").over(Window.orderBy("epoch_no")), F.max("made").over(Window.partitionBy(F.lit(0)))
+    return rows.select("epoch_no", checkpoints.kind(F.col("era"), before, F.col("asked")).alias("kind"), checkpoints.age_seconds(F.col("made"), now).alias("age"), checkpoints.era_progress(F.col("era"), slot, F.col("epoch_no")).alias("progress"), checkpoints.rate(F.col("blocks"), F.col("seconds")).alias("rate"))
+
+
 @query("""WITH h AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1),
 r AS (SELECT hour, n, CAST(n AS DOUBLE) / (date_diff('second', lag(hour) OVER (ORDER BY hour), hour)) AS rate FROM h)
 SELECT hour, n, rate, max(CASE WHEN rate < 10000 THEN rate END) OVER (ORDER BY hour) AS peak FROM r""", views=False)

@@ -44,11 +44,7 @@ def slot_stream(spark, sf_dir):
         if tag == "again" and folders.exists(spark, held):
             start = jobs.resume_slot(spark.read.parquet(held).select(F.col("slot").alias("slot_no"))).first()[0]
         stream = ranges.replay(spark, path, columns, rows=max(1, (blocks or 0) // 6), start=start, before=before, checkpoint=f"{where}/{tag}")
-        running = stream.writeStream.foreachBatch(store).option("checkpointLocation", f"{where}/{tag}").start()
-        try:
-            running.processAllAvailable()
-        finally:
-            running.stop()
+        jobs.run_batches(stream, f"{where}/{tag}", store)
     return spark.read.schema("slot long, block_no long, txes long, outputs long, value long").parquet(held).drop("batch")
 
 

@@ -8,7 +8,7 @@ from chainloom import folders
 from chainloom.operators.selectors import Selection, select_blocks
 from chainloom.plans.register import query
 from chainloom.sources import blocks as nested
-from chainloom.sources import ledger
+from chainloom.sources import ledger, ranges
 from chainloom.streaming import jobs, monitor
 
 
@@ -100,17 +100,18 @@ def resume_slot(spark, sf_dir):
 
 @query("SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM events GROUP BY 1", views=False)
 def epoch_trigger(spark, sf_dir):
-    """Each day of a stream announced once, in the batch that begins it, as new epochs are; then counted."""
-    where = folders.new(spark, "epochs")
-
-    def announce(batch, day):
-        batch.where(F.col("day") == day).select("day").limit(1).write.mode("overwrite").parquet(f"{where}/announced/on={day}")
-
-    stream = _events(spark, sf_dir).select(F.to_date("ts").alias("day"))
-    stream.writeStream.foreachBatch(monitor.at_new_epochs(announce, "day")).option("checkpointLocation", f"{where}/state").trigger(availableNow=True).start().awaitTermination()
-    announced = spark.read.schema("day date").parquet(f"{where}/announced/*")
-    days = ledger.table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("events"))
-    return days.join(announced, "day", "left_semi")
+    """A job for each day of a stream, run when the next day begins as those of epochs are: it counts the day's events."""
+    path, where = folders.new(spark, "by-day"), folders.new(spark, "epochs")
+    rows = ledger.table(spark, sf_dir, "events").select(F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), F.to_date("ts").alias("day"))
+    ranges.lay_out(rows, path, "at", 4096)
+
+    def count(blocks, day):
+        return blocks.groupBy("day").agg(F.count(F.lit(1)).alias("events"))
+
+    days = monitor.EpochJobs(where, "day date", "day", count, "day date, events long")
+    stream = ranges.replay(spark, path, rows.schema, "at", max(4096, rows.count() // 6)).select("day")
+    jobs.run_batches(stream, f"{where}/state", days.step)
+    return days.finish(spark)
 
 
 @query("SELECT slot_no, greatest(0, (SELECT max(slot_no) FROM blocks) - slot_no) AS behind, (SELECT max(slot_no) FROM blocks) - slot_no <= 86400 AS live FROM blocks")

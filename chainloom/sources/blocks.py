@@ -60,9 +60,11 @@ _CERTIFICATES = f"""array(
   named_struct('type', 999, 'credential', null, 'pool', null, 'epoch', null, 'pledge', null, 'cost', null, 'margin', null, 'reward_account', null, 'owners', null, 'relays', null, 'metadata_url', null, 'metadata_hash', null,
     'drep', null, 'drep_hash', null, 'hot', null, 'anchor_url', null, 'anchor_hash', null, 'deposit', null, 'pot', null, 'other_pot', null))"""
 _VOTES = _some("k % 2 = 0", f"named_struct('voter_type', cast(k % 6 as int), 'voter', {_sha28("concat('v', k)")}, 'action_tx', {_h('k + 1')}, 'action_index', cast(k % 3 as int), 'vote', cast(k % 4 as int), 'anchor_url', if(k % 4 = 0, null, concat('http://v/', k)), 'anchor_hash', {_sha("concat('v', k)")})", f"named_struct('voter_type', cast((k + 1) % 6 as int), 'voter', {_sha28("concat('w', k)")}, 'action_tx', {_h('k + 2')}, 'action_index', 0, 'vote', cast((k + 1) % 4 as int), 'anchor_url', cast(null as string), 'anchor_hash', cast(null as binary))")
-_PROPOSALS = _some("k % 3 = 0", f"""named_struct('type', element_at(array('ParameterChange', 'TreasuryWithdrawal', 'UpdateCommittee', 'NewConstitution'), cast(1 + k % 4 as int)), 'deposit', k, 'anchor_url', concat('http://p/', k), 'anchor_hash', {_sha("concat('p', k)")},
+_PROPOSALS = _some("k % 3 = 0", f"""named_struct('type', element_at(array('ParameterChange', 'TreasuryWithdrawal', 'UpdateCommittee', 'NewConstitution', 'HardForkInitiation', 'NoConfidence', 'InfoAction'), cast(1 + k % 7 as int)), 'deposit', k, 'anchor_url', concat('http://p/', k), 'anchor_hash', {_sha("concat('p', k)")},
   'withdrawals', map(concat('stake', c), k), 'members', map(concat('m', c), 600 + k % 10), 'script_hash', if(k % 8 = 3, null, {_sha28("concat('c', k)")}), 'quorum', if(k % 8 = 2, 0.6D, null), 'parameters', map('p1', cast(k as string), 'p2', 'x'),
   'previous_tx', if(k % 2 = 0, {_h('k - 1')}, null), 'previous_index', if(k % 2 = 0, 0, null))""")
+#: Scripts of each language, and a native one in common use beside every fourth of them.
+_SCRIPTS = "filter(array(if(k % 3 = 0, named_struct('type', element_at(array('native', 'plutus_v1', 'plutus_v2', 'plutus_v3'), cast(1 + k % 4 as int)), 'bytes', encode(concat('script ', k % 40), 'UTF-8')), null), if(k % 12 = 0, named_struct('type', 'native', 'bytes', encode(concat('lib ', k % 36), 'UTF-8')), null)), x -> x is not null)"
 #: A transaction of an order: k its key, c its customer, with its items and the items returned of the order before.
 _TX = f"""named_struct('hash', {_h('k')}, 'size', cast(k % 5000 as int), 'fee', fee, 'ttl', k % 4 * 1000, 'validity_start', k % 3 * 10, 'is_valid', if(k % 5 = 0, null, k % 5 <> 1), 'total_collateral', k % 7, 'donation', k % 11,
   'inputs', inputs, 'outputs', transform(items, (x, i) -> named_struct('address', cast(x.l_suppkey as string), 'address_raw', if(x.l_suppkey % 2 = 0, concat(unhex('01'), {_sha("cast(x.l_suppkey as string)")}, substring({_sha("concat('x', x.l_suppkey)")}, 1, 24)), null),
@@ -72,7 +74,7 @@ _TX = f"""named_struct('hash', {_h('k')}, 'size', cast(k % 5000 as int), 'fee',
   'collateral_return', if(k % 4 = 0, named_struct('address', if(k % 8 = 0, repeat('r', 101), concat('ret', c)), 'address_raw', {_sha("concat('ret', c)")}, 'amount', k, 'datum_hash', null, 'inline_datum', null, 'assets', null), null),
   'required_signers', {_some("k % 3 = 1", _sha28("concat('s', c)"), _sha28("concat('t', c)"))}, 'mint', if(k % 2 = 1, map(concat(substring(sha2(concat('policy', k % 7), 256), 1, 56), '.', hex('m')), k % 13 - 6), null),
   'metadata', map(721, concat('{{"k": ', k, '}}'), cast(k % 20 as int), 'x'), 'certificates', {_CERTIFICATES}, 'withdrawals', if(status = 'F', map(cast(c as string), paid), null),
-  'scripts', {_some("k % 3 = 0", "named_struct('type', 'plutusV2', 'bytes', encode(concat('script ', k % 40), 'UTF-8'))")}, 'datums', {_some("k % 4 = 1", "encode(concat('datum ', k % 50), 'UTF-8')")},
+  'scripts', {_SCRIPTS}, 'datums', {_some("k % 4 = 1", "encode(concat('datum ', k % 50), 'UTF-8')")},
   'redeemers', {_some("k % 5 = 2", "named_struct('tag', cast(k % 6 as int), 'index', cast(k % 3 as int), 'data', encode(concat('r', k), 'UTF-8'), 'mem', k, 'steps', 2 * k)")}, 'votes', {_VOTES}, 'proposals', {_PROPOSALS})"""
 
 

@@ -51,6 +51,15 @@ def run_open(stream: DataFrame, where: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{where}/out")
 
 
+def run_batches(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None]) -> None:
+    """Give all that a stream has now to ``step``, batch by batch."""
+    query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def state(spark: SparkSession, where: str, below: int | None = None) -> dict[str, list[str]]:
     """Folders of each part of the state, newest last, out of versions that are complete and older than ``below``."""
     found: dict[str, list[str]] = {}

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
+from chainloom import folders
+
 KEPT = 300
 
 
@@ -75,21 +77,47 @@ class Observed(StreamingQueryListener):
         return spark.createDataFrame([self.rows[k] for k in sorted(self.rows)], schema)
 
 
-def at_new_epochs(action: Callable[[DataFrame, int], None], epoch: str = "epoch_no") -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: call ``action(batch, epoch)`` for each epoch that a batch begins, in order.
+def _in_order(epoch: str) -> tuple[int, str]:
+    """Epochs' names in the order of epochs, be they numbers or days."""
+    return len(epoch), epoch
 
-    An epoch begins with the first block seen of it, in whatever order blocks come. After a restart the epochs of the
-    batch that is repeated may be announced again, so that actions have to be idempotent, as upserts of an epoch's rows are.
-    """
-    seen: set = set()
 
-    def step(batch: DataFrame, _: int) -> None:
-        for row in batch.select(F.col(epoch)).distinct().orderBy(epoch).collect():  # epochs of one batch: very few
-            if row[0] not in seen:
-                action(batch, row[0])
-                seen.add(row[0])
+class EpochJobs:
+    """Runs an epoch's job once its blocks are complete: when a stream in the order of slots brings a block of a later one.
+
+    Blocks are kept in folder ``where`` by epoch and batch, and ``job(blocks, epoch)`` gets those of one epoch; what it
+    returns is written as that epoch's result. Which epochs have begun is read from the folder, so that a restart goes on
+    where the last run stood, and a repeated batch or job writes the same again.
+    """
 
-    return step
+    def __init__(self, where: str, schema: str, epoch: str, job: Callable[[DataFrame, object], DataFrame], result: str):
+        self.where, self.schema, self.epoch, self.job, self.result = where, schema, epoch, job, result
+
+    def _epochs(self, spark: SparkSession, folder: str) -> set[str]:
+        return {n.partition("=")[2] for n in folders.names(spark, f"{self.where}/{folder}") if n.startswith("of=")}
+
+    def _run(self, spark: SparkSession, epoch: str) -> None:
+        blocks = spark.read.schema(self.schema).parquet(f"{self.where}/blocks/of={epoch}")
+        self.job(blocks, epoch).write.mode("overwrite").parquet(f"{self.where}/results/of={epoch}")
+
+    def step(self, batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        found = [str(r[0]) for r in batch.select(self.epoch).distinct().collect()]  # epochs of one batch: very few
+        for epoch in found:
+            batch.where(F.col(self.epoch).cast("string") == epoch).write.mode("overwrite").parquet(f"{self.where}/blocks/of={epoch}/batch={number}")
+        begun, done = self._epochs(spark, "blocks"), self._epochs(spark, "results")
+        newest = max(begun, key=_in_order, default=None)
+        # blocks that come late have their epoch's job run again
+        for epoch in sorted((e for e in begun if e != newest and (e not in done or e in found)), key=_in_order):
+            self._run(spark, epoch)
+
+    def finish(self, spark: SparkSession) -> DataFrame:
+        """The results of all epochs, the open one's too: its job runs again with the blocks that are there."""
+        begun = self._epochs(spark, "blocks")
+        if begun:
+            self._run(spark, max(begun, key=_in_order))
+        paths = [f"{self.where}/results/of={e}" for e in sorted(begun)]
+        return spark.read.schema(self.result).parquet(*paths) if paths else spark.createDataFrame([], self.result)
 
 
 def slots_behind(slot: Column, tip: Column) -> Column:

@@ -97,11 +97,7 @@ class Retracting:
 
     def run(self, stream: DataFrame, checkpoint: str | None = None) -> DataFrame:
         """Apply all that a stream has now, batch by batch, and return the aggregate."""
-        query = stream.writeStream.foreachBatch(self.step).option("checkpointLocation", checkpoint or f"{self.where}/checkpoint").start()
-        try:
-            query.processAllAvailable()
-        finally:
-            query.stop()
+        jobs.run_batches(stream, checkpoint or f"{self.where}/checkpoint", self.step)
         return self.table(stream.sparkSession)
 
     def table(self, session) -> DataFrame:

@@ -60,14 +60,27 @@ def test_fetching(spark):
     assert got[3]["error"] == "status 404" and got[4]["error"] == "scheme not allowed" and got[4]["attempts"] == 0 and got[5]["attempts"] == 3
 
 
-def test_new_epochs_are_announced_once(spark, tmp_path):
-    for k, epochs in enumerate(([1, 1], [1, 2], [2, 4, 3])):
+def test_jobs_of_epochs_run_when_the_next_begins_and_go_on_after_a_restart(spark, tmp_path):
+    ran = []
+
+    def job(blocks, epoch):
+        ran.append(epoch)
+        return blocks.groupBy("epoch_no").agg(F.count(F.lit(1)).alias("n"))
+
+    def run(epochs, number):
         spark.createDataFrame([(e,) for e in epochs], "epoch_no long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        seen = [] if not k else seen
-    log = monitor.ProgressLog()
-    spark.streams.addListener(log)
-    step = monitor.at_new_epochs(lambda batch, epoch: seen.append(epoch))
-    jobs.replay(spark, f"{tmp_path}/in").writeStream.foreachBatch(step).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
-    spark.streams.removeListener(log)
-    assert sorted(seen) == [1, 2, 3, 4] and len(seen) == len(set(seen))
+        done = monitor.EpochJobs(f"file://{tmp_path}/jobs", "epoch_no long", "epoch_no", job, "epoch_no long, n long")
+        log = monitor.ProgressLog()
+        spark.streams.addListener(log)
+        jobs.replay(spark, f"{tmp_path}/in").writeStream.foreachBatch(done.step).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+        spark.streams.removeListener(log)
+        return done
+
+    run([8, 9, 9], 0)
+    assert ran == ["8"]
+    run([9, 10, 10, 12], 1)
+    assert ran == ["8", "9", "10"]
+    done = run([9], 2)  # late
+    assert ran == ["8", "9", "10", "9"]
+    assert sorted(map(tuple, done.finish(spark).collect())) == [(8, 1), (9, 4), (10, 2), (12, 1)]
     assert monitor.near_tip(100, 3700) and not monitor.near_tip(100, 3701)
