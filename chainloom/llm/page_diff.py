@@ -1,9 +1,10 @@
 """Main text of pages: each page is set against the page of its host with the nearest URL.
 
 A page is cut into lines, one for each block of text. Lines that a longest common subsequence shares with the
-nearest page that is no copy are the template's and are deleted, inside the page's article element as well. What the
-markup itself names as something else (menus, footers, forms, adverts, comments and so on) is deleted too, shared or
-not.
+nearest page that is no copy are the template's and are deleted. A line inside the page's article element may be prose
+that two articles share, and goes only where the two nearest pages, which are no copies of one another either, both have
+it at its place, or where it is common on the host. What no neighbour shows is judged by the markup: menus, footers,
+forms, adverts, comments and so on by the names of elements and classes.
 
 A line on at least half of the different pages of a host, and on three, is common there. Copies are told by their
 other lines. Pages are ordered by (host, path, page_id, html), and a run of pages that have the same lines, but for
@@ -19,6 +20,7 @@ import hashlib
 import html as entities
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -49,6 +51,10 @@ _OUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search",
 _OUT_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "discussion", "footer", "gdpr", "header", "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promoted", "related", "recommended", "replies", "reply", "respond", "share", "sharing", "sidebar", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget"}
 #: Words that say nothing for themselves: "site-header" is a header, "market-share" is no bar for sharing.
 _PLACE_WORDS = {"area", "article", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "desktop", "entry", "fixed", "form", "global", "group", "icon", "icons", "inline", "inner", "item", "items", "js", "left", "link", "links", "list", "main", "message", "mobile", "outer", "overlay", "page", "panel", "policy", "post", "primary", "right", "secondary", "section", "site", "slot", "sticky", "text", "thread", "top", "unit", "wrap", "wrapper"}
+#: Elements of an article's own text, which a single word of a class makes something else only if it is one of these:
+#: a paragraph of class "share" or "reply" may be about shares or quote a reply.
+_PROSE = {"p", "blockquote", "q", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "li", "dd", "dt", "td", "th", "figcaption"}
+_PROSE_OUT = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "breadcrumb", "breadcrumbs", "cookie", "cookies", "newsletter", "pager", "pagination", "promo", "promoted", "sponsor", "sponsored"}
 #: Words and elements that inside an article belong to it: its own headline.
 _HEAD_WORDS = {"header", "masthead"}
 _MAIN_WORDS = {"article", "articlebody", "entry-content", "post-content", "article-content", "article-body", "post-body", "main-content", "story-body"}
@@ -76,7 +82,7 @@ def _kind(name: str, attributes: str, inside: bool = False) -> int:
     out = _OUT_WORDS - _HEAD_WORDS if inside else _OUT_WORDS
     for w in whole:
         parts = set(re.split(r"[-_]+", w)) - {""}
-        if parts & out and parts <= out | _PLACE_WORDS:
+        if parts & out and parts <= out | _PLACE_WORDS and not (inside and name in _PROSE and len(parts) == 1 and not parts & _PROSE_OUT):
             return -1
     if name in ("article", "main") or whole & _MAIN_WORDS:
         return 1
@@ -84,10 +90,14 @@ def _kind(name: str, attributes: str, inside: bool = False) -> int:
 
 
 def lines(page: str | None) -> list[tuple[str, int]]:
-    """Text of each block with 1 for the article's own, -1 for what the markup names as something else, 0 for the rest."""
+    """Text of each block with 1 for the article's own, -1 for what the markup names as something else, 0 for the rest.
+
+    As in browsers, "<" with a letter behind it begins a tag: what follows in ``a<b`` belongs to the tag.
+    """
     page = page or ""
     out: list[tuple[str, int]] = []
     stack: list[tuple[str, int]] = []
+    open_names: Counter[str] = Counter()  # of the stack, so that no tag has to search it in vain
     parts: list[str] = []
     state, at = 0, 0
 
@@ -107,30 +117,35 @@ def lines(page: str | None) -> list[tuple[str, int]]:
         if name and position[1]:
             if name in _BLOCK:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if state != stack[k][1]:
+            while open_names[name]:
+                closed, before = stack.pop()
+                open_names[closed] -= 1
+                if closed == name:
+                    if state != before:
                         flush()
-                    state = stack[k][1]
-                    del stack[k:]
+                    state = before
                     break
         elif name:
             if name in _BLOCK:
                 flush()
             if name == "br":
                 parts.append(" ")
-            if name in _RAW:
+            if name == "svg" and (position[3] or "").endswith("/"):
+                pass  # the one raw element that may end at once
+            elif name in _RAW:
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             elif name not in _VOID and not (position[3] or "").endswith("/"):
                 if name == "p" and stack and stack[-1][0] == "p":
                     state = stack.pop()[1]
+                    open_names["p"] -= 1
                 kind = _kind(name, position[3] or "", state == 1)
                 inner = -1 if state == -1 or kind == -1 else max(state, kind)
-                if inner != state or name in _BLOCK or any(open_ == name for open_, _ in stack):
+                if inner != state or name in _BLOCK or open_names[name]:
                     if inner != state:
                         flush()
                     stack.append((name, state))
+                    open_names[name] += 1
                     state = inner
         position = _TAG.search(page, at)
     parts.append(page[at:])
@@ -193,7 +208,7 @@ def marks(page: list[tuple[str, int]]) -> list[int]:
 
 
 def main_text(own: list[tuple[str, int]], others: list[list[tuple[str, int]]], common: frozenset[int] = frozenset()) -> str:
-    """Lines of a page without those that its markup or the nearest page that is no copy shows to be template.
+    """Lines of a page without those that the nearest pages that are no copies, or its markup, show to be template.
 
     Copies are told by the lines that are neither ``common`` on the host (marks) nor named as something else by the
     markup. A page that meets copies only loses the host's common lines, and what its markup sets beside an article; one
@@ -203,15 +218,27 @@ def main_text(own: list[tuple[str, int]], others: list[list[tuple[str, int]]], c
     def telling(page: list[tuple[str, int]]) -> list[str]:
         return [t for t, k in page if k >= 0 and not (common and mark(t) in common)]
 
+    def are_copies(a: list[str], b: list[str]) -> bool:
+        return len(shared(a, b)) > COPY_SHARE * max(1, min(len(a), len(b)))
+
     texts, left = [t for t, _ in own], telling(own)
+    has_article = any(k == 1 for _, k in own)
+    met: list[set[int]] = []  # of one neighbour, or of two different ones, what they share with the page
+    before: list[str] = []
     for other in others if left else []:
         if all(k < 0 for _, k in other):  # shows nothing
             continue
         theirs = telling(other)
-        if len(shared(left, theirs)) <= COPY_SHARE * max(1, min(len(left), len(theirs))):
-            gone = shared(texts, [t for t, _ in other])
-            return "\n".join(t for i, (t, k) in enumerate(own) if k >= 0 and i not in gone)
-    has_article = any(k == 1 for _, k in own)
+        if are_copies(left, theirs) or met and are_copies(before, theirs):
+            continue
+        met.append(shared(texts, [t for t, _ in other]))
+        before = theirs
+        if len(met) == 2 or not has_article:
+            break
+    if met:
+        twice = met[0] & met[1] if len(met) == 2 else set()
+        gone = {i for i, (t, k) in enumerate(own) if (i in twice or mark(t) in common if k == 1 else i in met[0])}
+        return "\n".join(t for i, (t, k) in enumerate(own) if k >= 0 and i not in gone)
     gone = common if left and others else frozenset()
     return "\n".join(t for t, k in own if (k == 1 or k == 0 and not has_article) and not (gone and mark(t) in gone))
 
