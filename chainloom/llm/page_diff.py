@@ -2,8 +2,8 @@
 
 A page is cut into lines, one for each block of text. Lines that a longest common subsequence shares with the
 nearest page that is no copy are the template's and are deleted. A line inside the page's article element may be prose
-that two articles share, and goes only where the two nearest pages, which are no copies of one another either, both have
-it at its place, or where it is common on the host. What no neighbour shows is judged by the markup: menus, footers,
+that articles share, and goes only where it is common on the host and the two nearest pages, which are no copies of one
+another either, both have it at its place. What no neighbour shows is judged by the markup: menus, footers,
 forms, adverts, comments and so on by the names of elements and classes.
 
 A line on at least half of the different pages of a host, and on three, is common there. Copies are told by their
@@ -237,7 +237,7 @@ def main_text(own: list[tuple[str, int]], others: list[list[tuple[str, int]]], c
             break
     if met:
         twice = met[0] & met[1] if len(met) == 2 else set()
-        gone = {i for i, (t, k) in enumerate(own) if (i in twice or mark(t) in common if k == 1 else i in met[0])}
+        gone = {i for i, (t, k) in enumerate(own) if (i in twice and mark(t) in common if k == 1 else i in met[0])}
         return "\n".join(t for i, (t, k) in enumerate(own) if k >= 0 and i not in gone)
     gone = common if left and others else frozenset()
     return "\n".join(t for t, k in own if (k == 1 or k == 0 and not has_article) and not (gone and mark(t) in gone))

@@ -5,7 +5,7 @@ from urllib.parse import urlsplit
 
 import pytest
 
-from chainloom.llm.page_diff import COMMON_PAGES, COMMON_SHARE, COPY_SHARE, REACH, extract, lines, main_text, shared
+from chainloom.llm.page_diff import COMMON_PAGES, COMMON_SHARE, COPY_SHARE, REACH, extract, lines, main_text, mark, shared
 
 
 def lcs_length(a, b):
@@ -87,13 +87,16 @@ def test_copy_in_another_template_keeps_its_article():
     assert main_text(own, [[("Other menu", -1), ("One.", 1), ("Two.", 1), ("Other foot", -1)], [], [("Foot", -1)], [("Two.", 1), ("Three.", 1)]]) == "One.\nTwo."
 
 
-def test_a_line_of_the_article_goes_where_two_different_neighbours_have_it():
+def test_a_line_of_the_article_goes_where_two_different_neighbours_and_the_host_have_it():
     own = [("Menu", 0), ("One.", 1), ("Read on.", 1), ("Two.", 1)]
     first, second = [("Menu", 0), ("Three.", 1), ("Read on.", 1), ("Four.", 1)], [("Five.", 1), ("Read on.", 1), ("Six.", 1)]
     assert main_text(own, [first]) == "One.\nRead on.\nTwo."
     assert main_text(own, [first, first]) == "One.\nRead on.\nTwo."  # a copy of the first shows nothing more
-    assert main_text(own, [first, second]) == "One.\nTwo."
-    assert main_text(own, [second, first]) == "Menu\nOne.\nTwo."  # outside the nearest page decides
+    assert main_text(own, [first, second]) == "One.\nRead on.\nTwo."  # two articles may share prose
+    common = frozenset([mark("Read on.")])
+    assert main_text(own, [first, second], common) == "One.\nTwo."
+    assert main_text(own, [second, first], common) == "Menu\nOne.\nTwo."  # outside the nearest page decides
+    assert main_text(own, [first], common) == "One.\nRead on.\nTwo."
 
 
 def texts(spark, rows, parts):
@@ -197,7 +200,7 @@ def by_brute_force(rows):
                 marked = any(kind == 1 for _, kind in ls)
                 if shows:
                     twice = shows[0] & shows[1] if len(shows) == 2 else set()
-                    out[k] = [t for i, (t, kind) in enumerate(ls) if kind == 0 and i not in shows[0] or kind == 1 and i not in twice and t not in common]
+                    out[k] = [t for i, (t, kind) in enumerate(ls) if kind == 0 and i not in shows[0] or kind == 1 and not (i in twice and t in common)]
                 else:
                     out[k] = [t for t, kind in ls if (kind == 1 or kind == 0 and not marked) and not (met and t in common)]
     return {k: "\n".join(v) for k, v in out.items()}
