@@ -28,14 +28,29 @@ def blocks(raw: DataFrame) -> DataFrame:
 
 def transactions(raw: DataFrame) -> DataFrame:
     """Transactions with their place in the block; a validity end only where a transaction has one."""
-    rows = raw.select(F.col("hash").alias("block_hash"), F.col("slot").alias("slot_no"), "block_type", F.posexplode("txs").alias("block_index", "tx"))
+    rows = _opened(raw).withColumnRenamed("slot", "slot_no")
     out_sum = F.when(F.size("tx.outputs") > 0, F.aggregate("tx.outputs", F.lit(0).cast("long"), lambda s, o: s + o["amount"]))
     late = F.col("block_type") >= ALONZO
     return rows.select(F.col("tx.hash").alias("tx_hash"), "block_hash", "slot_no", "block_type", "block_index", F.col("tx.size").alias("size"), _positive(F.col("tx.fee")).alias("fee"), out_sum.alias("out_sum"), F.when(F.col("block_type") >= SHELLEY, _positive(F.col("tx.ttl"))).alias("invalid_hereafter"), F.when(F.col("block_type") > SHELLEY, _positive(F.col("tx.validity_start"))).alias("invalid_before"), F.when(late, F.coalesce("tx.is_valid", F.lit(True))).otherwise(True).alias("valid_contract"), F.when(late, _positive(F.col("tx.total_collateral"))).alias("total_collateral"), F.when(F.col("block_type") >= CONWAY, _positive(F.col("tx.donation"))).alias("treasury_donation"))
 
 
+def flat(raw: DataFrame) -> DataFrame:
+    """One row for each transaction with its fields as columns of their own: where many tables are made of one reading of
+    the blocks, they are made of this, kept, and each reads the columns that it needs."""
+    rows = _opened(raw)
+    return rows.select("block_hash", "slot", "block_type", "block_index", *(F.col(f"tx.{f.name}").alias(f"tx_{f.name}") for f in rows.schema["tx"].dataType))
+
+
+def _opened(raw: DataFrame) -> DataFrame:
+    """block_hash, slot, block_type, block_index and tx of each transaction of blocks or of what ``flat`` made of them."""
+    if "txs" in raw.columns:
+        return raw.select(F.col("hash").alias("block_hash"), "slot", "block_type", F.posexplode("txs").alias("block_index", "tx"))
+    fields = [c for c in raw.columns if c.startswith("tx_")]
+    return raw.select("block_hash", "slot", "block_type", "block_index", F.struct(*(F.col(c).alias(c[3:]) for c in fields)).alias("tx"))
+
+
 def _txs(raw: DataFrame, since: int = 0) -> DataFrame:
-    return raw.where(F.col("block_type") >= since).select("slot", "block_type", F.explode("txs").alias("tx")).select("slot", "block_type", F.col("tx.hash").alias("tx_hash"), "tx")
+    return _opened(raw.where(F.col("block_type") >= since)).select("slot", "block_type", F.col("tx.hash").alias("tx_hash"), "tx")
 
 
 def _inputs(raw: DataFrame, field: str, since: int = 0) -> DataFrame:
@@ -268,9 +283,14 @@ TABLES = {
 PARTS = {"committee_deregistrations": "committee_registrations", "reserves": "treasuries"}
 
 
-def shred(raw: DataFrame, only: set[str] | None = None, labels: list[int] | None = None) -> dict[str, DataFrame]:
-    """All tables of the blocks, or those named; a table that is not asked for is not planned at all."""
-    out = {name: build(raw) for name, build in TABLES.items() if (only is None or name in only) and name != "tx_metadata"}
+def shred(raw: DataFrame, only: set[str] | None = None, labels: list[int] | None = None, opened: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All tables of the blocks, or those named; a table that is not asked for is not planned at all.
+
+    ``opened`` is what ``flat`` has made of the same blocks, if that is kept: then only ``blocks`` reads them again.
+    """
+    out = {"blocks": blocks(raw)} if only is None or "blocks" in only else {}
+    raw = raw if opened is None else opened
+    out |= {name: build(raw) for name, build in TABLES.items() if (only is None or name in only) and name not in ("tx_metadata", "blocks")}
     if only is None or "tx_metadata" in only:
         out["tx_metadata"] = metadata(raw, labels)
     if only is None or "committee_registrations" in only:

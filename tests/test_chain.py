@@ -133,3 +133,14 @@ def test_utxo_changes_add_up(spark):
     rows = utxo.changes_by_epoch(outs, ins, txes).orderBy("epoch_no").collect()
     assert [r["utxo_value"] for r in rows] == [10, 4]
     assert [r["value"] for r in utxo.unspent(outs, ins).collect()] == [4]
+
+
+def test_tables_of_opened_blocks_are_the_same(spark):
+    raw = chain(spark)
+    opened = shred.flat(raw).persist()
+    plain, again = shred.shred(raw), shred.shred(raw, opened=opened)
+    assert list(plain) == list(again)
+    for name in plain:
+        assert plain[name].columns == again[name].columns
+        assert sorted(map(str, plain[name].collect())) == sorted(map(str, again[name].collect())), name
+    opened.unpersist()
