@@ -54,12 +54,14 @@ def report(errors: DataFrame, severity: str, last_seen: str, key: str, most: int
 def gaps(events: DataFrame, ts: str, key: str, seconds: int) -> DataFrame:
     """Pauses longer than ``seconds`` between the events of a key, with where they begin and end.
 
-    Events are put in order within a key's days; a window over one row for each key and day joins the days' edges.
+    Events are put in order within a key's days, which also gives the edges of each day; a window over one row for each key
+    and day joins them.
     """
-    rows = events.select(key, ts, F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 86400).alias("day__"))
-    inside = rows.withColumn("before", F.lag(ts).over(Window.partitionBy(key, "day__").orderBy(ts)))
-    days = rows.groupBy(key, "day__").agg(F.min(ts).alias(ts), F.max(ts).alias("last__"))
-    edges = days.withColumn("before", F.lag("last__").over(Window.partitionBy(key).orderBy("day__")))
+    rows = events.where(F.col(ts).isNotNull()).select(key, ts, F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 86400).alias("day__"))
+    day = Window.partitionBy(key, "day__").orderBy(ts)
+    inside = rows.withColumns({"before": F.lag(ts).over(day), "last__": F.max(ts).over(day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    firsts = inside.where("before is null").select(key, ts, "day__", "last__")
+    edges = firsts.withColumn("before", F.lag("last__").over(Window.partitionBy(key).orderBy("day__", ts)))
     rows = inside.select(key, ts, "before").unionByName(edges.select(key, ts, "before")).where("before is not null")
     pause = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("before").cast("timestamp"))
     return rows.select(key, F.col("before").alias("gap_start"), F.col(ts).alias("gap_end"), pause.alias("gap_us")).where(F.col("gap_us") > seconds * 1_000_000)

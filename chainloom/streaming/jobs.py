@@ -61,11 +61,17 @@ def run_batches(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, i
 
 
 def state(spark: SparkSession, where: str, below: int | None = None) -> dict[str, list[str]]:
-    """Folders of each part of the state, newest last, out of versions that are complete and older than ``below``."""
+    """Folders of each part of the state, newest last, out of versions that are complete and older than ``below``.
+
+    Only the newest version may be incomplete, by a failure: where others are, the committer does not mark what it has
+    finished, and the state could not be told from what failures left.
+    """
     found: dict[str, list[str]] = {}
     versions = sorted(int(v[1:]) for v in folders.names(spark, where) if re.fullmatch(r"v\d+", v))
     for v in (v for v in versions if below is None or v < below):
         inside = folders.names(spark, f"{where}/v{v}")
+        if "_SUCCESS" not in inside and v != versions[-1]:
+            raise ValueError(f"version {v} in {where} has no _SUCCESS: set mapreduce.fileoutputcommitter.marksuccessfuljobs")
         for part in inside if "_SUCCESS" in inside else []:
             if part.startswith("part__="):
                 found.setdefault(part.partition("=")[2], []).append(f"{where}/v{v}/{part}")
