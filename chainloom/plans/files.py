@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from chainloom import folders
 from chainloom.functions import checks, hashes, votes
-from chainloom.operators import offchain, shred, sinks
+from chainloom.operators import existence, offchain, shred, sinks
 from chainloom.plans.register import query
 from chainloom.sources import blocks as nested
 from chainloom.sources import ledger
@@ -25,6 +26,21 @@ def insert_ignore(spark, sf_dir):
     return held.unionByName(added).select(*keys, "l_partkey", "l_suppkey", "quantity")
 
 
+@query(f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_quantity > 25, {_LINE}) AS n FROM lineitem) WHERE n = 1""", views=False)
+def insert_by_filter(spark, sf_dir):
+    """The same batch with a filter of the stored keys beside the table: keys that it does not know need no look-up."""
+    items = ledger.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("quantity"), "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    keys = ["l_orderkey", "l_linenumber"]
+    where = folders.new(spark, "filtered")
+    sinks.first_of_key(items.where("l_quantity <= 25"), keys).write.parquet(f"{where}/table")
+    held = spark.read.schema(items.schema).parquet(f"{where}/table")
+    bits = existence.bits_for(held.count())
+    existence.build(held, keys, bits).write.parquet(f"{where}/filter")
+    added = existence.insert_ignore(held, items.where("l_quantity > 25"), keys, spark.read.schema("page long, bits binary").parquet(f"{where}/filter"), bits)
+    return held.unionByName(added).select(*keys, "l_partkey", "l_suppkey", "quantity")
+
+
 @query("""SELECT s_suppkey AS pool, CASE WHEN s_suppkey % 3 = 0 THEN -1 ELSE CAST(round(s_acctbal * 100) AS BIGINT) END AS balance FROM supplier UNION ALL SELECT -5, -1""", views=False)
 def upsert_replace(spark, sf_dir):
     held = ledger.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pool"), ledger.cents("s_acctbal").alias("balance"))
