@@ -209,3 +209,11 @@ def collateral_assets(spark, sf_dir):
     outputs = shred.collateral_outputs(nested.stored(spark, sf_dir))
     found = shred.collateral_assets(claims, outputs).groupBy("tx_hash", "index", "asset").agg(F.count(F.lit(1)).alias("n"))
     return found.withColumn("tx_hash", F.lower(F.hex("tx_hash")))
+
+
+@query("SELECT p_partkey AS id, substr(p_name, 1, 5) AS ticker, p_brand AS name, CAST(NULL AS VARCHAR) AS description, 'http://part/' || p_partkey AS homepage FROM part", views=False)
+def pool_documents(spark, sf_dir):
+    """Off-chain documents of pools, here of parts: the ticker cut to five bytes, and the other fields."""
+    parts = ledger.table(spark, sf_dir, "part")
+    json = F.to_json(F.struct(F.col("p_name").alias("ticker"), F.col("p_brand").alias("name"), F.concat(F.lit("http://part/"), F.col("p_partkey")).alias("homepage")))
+    return offchain.pool_documents(parts.select(F.col("p_partkey").alias("id"), json.alias("json")), "json", "id")
