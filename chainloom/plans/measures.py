@@ -17,7 +17,8 @@ _COUNTED = {"customer": "c_custkey", "documents": "doc_id", "events": "event_id"
 @query(" UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows, min({c}) AS smallest, max({c}) AS largest FROM {t}" for t, c in _COUNTED.items()), views=False)
 def stored_counts(spark, sf_dir):
     """Rows and extremes of keys of all tables from the files' footers."""
-    return counts.footer_counts(spark, {t: (f"{sf_dir}/{t}.parquet", c) for t, c in _COUNTED.items()})
+    found = counts.footer_counts(spark, {t: (f"{sf_dir}/{t}.parquet", c) for t, c in _COUNTED.items()})
+    return spark.createDataFrame(found.collect(), found.schema)  # one row for each table, out of the other session
 
 
 @query("""WITH e AS (SELECT event_type, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY event_type ORDER BY ts) <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS begins FROM events),
@@ -41,7 +42,7 @@ def observed_batches(spark, sf_dir):
     seen = monitor.Observed("batch")
     stream = jobs.replay(spark, f"{where}/in/part=*", 1, "event_id long, ts timestamp_ntz", f"{where}/in")
     measured = stream.observe("batch", F.min("part").cast("long").alias("part"), F.count(F.lit(1)).alias("rows"), F.min("ts").alias("first"), F.max("ts").alias("tip"), F.max("event_id").alias("largest"))
-    seen.follow(measured.writeStream.format("noop").option("checkpointLocation", f"{where}/state").trigger(availableNow=True), len(parts))
+    seen.follow(spark, measured.writeStream.format("noop").option("checkpointLocation", f"{where}/state").trigger(availableNow=True), len(parts))
     return seen.table(spark, "part long, rows long, first timestamp_ntz, tip timestamp_ntz, largest long")
 
 

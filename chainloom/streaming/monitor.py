@@ -59,9 +59,9 @@ class Observed(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         pass
 
-    def follow(self, writer: DataStreamWriter, batches: int, patience: float = 30.0) -> None:
-        """Run a stream to its end. Reports come behind the batches: those of ``batches`` are waited for."""
-        streams = SparkSession.active().streams
+    def follow(self, spark: SparkSession, writer: DataStreamWriter, batches: int, patience: float = 30.0) -> None:
+        """Run a stream of a session to its end. Reports come behind the batches: those of ``batches`` are waited for."""
+        streams = spark.streams
         streams.addListener(self)
         try:
             writer.start().awaitTermination()

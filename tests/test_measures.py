@@ -57,10 +57,12 @@ def test_observed_batches_are_waited_for(spark, tmp_path):
     for k in range(3):
         spark.range(k * 10, k * 10 + 10).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
 
+    counts.footer_session(spark)  # another session does not matter
+
     def follow(batches, name):
         seen = monitor.Observed("m")
         stream = jobs.replay(spark, f"{tmp_path}/in").observe("m", F.count(F.lit(1)).alias("rows"), F.max("id").alias("tip"))
-        seen.follow(stream.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True), batches, patience=3.0)
+        seen.follow(spark, stream.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True), batches, patience=3.0)
         return seen.table(spark, "rows long, tip long")
 
     assert sorted(map(tuple, follow(3, "a").collect())) == [(10, 9), (10, 19), (10, 29)]
