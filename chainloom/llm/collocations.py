@@ -25,12 +25,15 @@ U64 = np.uint64
 CHUNK = 1 << 20
 #: Bits of the bitmap for each frequent run, and the most bits that it is given: what goes to all tasks is at most 64 MB.
 BITS_EACH, MOST_BITS = 16, 1 << 29
+#: Documents that pass between Spark and a task's Python at once: with more, their buffers take most of its memory.
+BATCH_ROWS = 1000
 #: Rows that one task ranks.
 RANKED_ROWS = 100_000
 
 _BLANK, _BREAK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09]] = True
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
+_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _APART = re.compile(rb"[ \t.,;:!?\n-\r]")
 
 
@@ -168,6 +171,17 @@ def frequent_runs(docs: DataFrame, least: int, most_words: int, chunk: int = CHU
     """Two kept tables: (lang, phrase, words, a) of all runs that occur ``least`` times, and (lang, n)."""
     spark = docs.sparkSession
     scratch.ship(spark)
+    batch_rows = spark.conf.get(_BATCHES)
+    spark.conf.set(_BATCHES, min(BATCH_ROWS, int(batch_rows)))
+    try:
+        return _frequent_runs(docs, least, most_words, chunk)
+    finally:
+        spark.conf.set(_BATCHES, batch_rows)
+
+
+def _frequent_runs(docs: DataFrame, least: int, most_words: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """``frequent_runs`` in the session's present settings; all of its jobs run here."""
+    spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text is not null")
     found: list[DataFrame] = []
     totals, bits = None, None
