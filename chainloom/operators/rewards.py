@@ -114,6 +114,8 @@ def simple_member_reward(stake: Column, cost: Column) -> Column:
 
 
 def stake_amount(numerator: Column, denominator: Column, total: int = SUPPLY) -> Column:
-    """A rational share of the supply, cut to an integer; exact in decimals."""
-    product = numerator.cast("decimal(19,0)") * F.lit(total).cast("decimal(19,0)")
-    return F.when(denominator != 0, F.floor(product / denominator.cast("decimal(19,0)")).cast("long"))
+    """A rational share of the supply, cut to an integer; exact in decimals.
+
+    The remainder goes before the division, since a decimal quotient is rounded to six places: it would reach the next integer."""
+    product, parts = numerator.cast("decimal(19,0)") * F.lit(total).cast("decimal(19,0)"), denominator.cast("decimal(19,0)")
+    return F.when(denominator != 0, ((product - F.pmod(product, parts)) / parts).cast("long"))
