@@ -10,7 +10,7 @@ import datetime
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -75,43 +75,43 @@ class Episodes(StatefulProcessor):
 
 class Retries(StatefulProcessor):
     """What has failed and has to be fetched again: each failure in a row waits longer, a success ends the row, and after
-    ``most`` failures nothing more is tried. A retry falls due when the watermark is beyond its time."""
+    ``most`` failures nothing more is tried. A retry falls due when the watermark is beyond its time.
 
-    def __init__(self, step: datetime.timedelta, most: int, ts: str, failed: str):
-        self.step, self.most, self.ts, self.failed = step, most, ts, failed
+    Keys have a few rows in a batch, so that these come as rows: a frame for each key costs more than its rows. Times
+    (at__, due) are microseconds; timers take the first whole millisecond that is not before one."""
+
+    def __init__(self, step: datetime.timedelta, most: int, failed: str, columns: list[str]):
+        self.step, self.most, self.failed, self.row = step // datetime.timedelta(microseconds=1), most, failed, Row(*columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waits = handle.getValueState("waits", "failures int, due timestamp")
+        self.waits = handle.getValueState("waits", "failures int, due long")
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        some = pd.concat(list(rows)).sort_values([self.ts, self.failed])
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        some = sorted((r["at__"], r[self.failed]) for r in rows)
         held = self.waits.get()
         failures, due = (int(held[0]), held[1]) if held is not None else (0, None)
-        if due is not None:
-            self.handle.deleteTimer(_up(due))
-        out = []
-        for at, failed in zip(some[self.ts].dt.to_pydatetime(), some[self.failed], strict=True):
+        before, known = due, held is not None
+        for at, failed in some:
             if due is not None and due <= at:  # it fell due before this row came
-                out.append((*key, failures, due))
-                due = None
+                yield self.row(*key, failures, due)
             failures = failures + 1 if failed else 0
             due = at + self.step * failures if 0 < failures <= self.most else None
+        if before is not None:
+            self.handle.deleteTimer(-(-before // 1000))
         if failures:
             self.waits.update((failures, due))
-        else:
+        elif known:
             self.waits.clear()
         if due is not None:
-            self.handle.registerTimer(_up(due))
-        if out:
-            yield pd.DataFrame(out, columns=self.columns)
+            self.handle.registerTimer(-(-due // 1000))
 
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         held = self.waits.get()
         if held is not None and held[1] is not None:
             # how often it has failed stays known, until a success or the last failure clears it
             self.waits.update((int(held[0]), None))
-            yield pd.DataFrame([(*key, int(held[0]), held[1])], columns=self.columns)
+            yield self.row(*key, int(held[0]), held[1])
 
     def close(self) -> None:
         pass
@@ -134,8 +134,10 @@ def episodes(events: DataFrame, keys: list[str], ts: str, quiet: datetime.timede
 
 def retries(events: DataFrame, keys: list[str], ts: str, failed: str, step: datetime.timedelta, most: int, late: str) -> DataFrame:
     """keys, failures and due of each retry that has fallen due."""
-    rows = events.select(*keys, ts, failed).withWatermark(ts, late)
-    return _apply(rows, keys, Retries(step, most, ts, failed), _schema(events, keys, "failures int, due timestamp"))
+    rows = events.select(*keys, ts, failed, F.unix_micros(ts).alias("at__")).withWatermark(ts, late)
+    schema = _schema(events, keys, "failures int, due long")
+    due = rows.groupBy(*keys).transformWithState(statefulProcessor=Retries(step, most, failed, schema.fieldNames()), outputStructType=schema, outputMode="Append", timeMode="EventTime")
+    return due.withColumn("due", F.timestamp_micros("due"))
 
 
 def run(stream: DataFrame, where: str) -> DataFrame:

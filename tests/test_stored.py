@@ -227,3 +227,14 @@ def test_new_files_under_the_same_path_are_seen(spark, tmp_path):
         spark.read.parquet(f"{DATA}/{name}.parquet").where(("o" if name == "orders" else "l") + "_orderkey between 200 and 400").write.mode("append").parquet(f"{where}/{name}.parquet")
     after = registry.QUERIES["slot_stream"](spark, where).agg(F.sum("txes")).first()[0]
     assert after > before
+
+
+def test_episodes_of_the_query_take_no_call_for_each_key(spark, monkeypatch):
+    """Few batches with many keys: the state of episodes is Spark's own, and retries get rows, not a frame for each key."""
+    plans = []
+    original = keyed.run
+    monkeypatch.setattr(keyed, "run", lambda stream, where: (plans.append(stream._jdf.queryExecution().analyzed().toString()), original(stream, where))[1])
+    for name in ("error_episodes", "retries_due"):
+        registry.QUERIES[name](spark, DATA)
+    assert "session_window" in plans[0] and "TransformWithState" not in plans[0]
+    assert "Pandas" not in plans[1]
