@@ -32,17 +32,18 @@ class Bucketed:
         return {name: spark.table(getattr(self, name)) for name in DEALT_BY}
 
 
-def store(tables: dict[str, DataFrame], where: str, prefix: str, buckets: int) -> Bucketed:
-    """Write tables as buckets in folder ``where`` and enter them in the catalogue under ``prefix``.
+def store(tables: dict[str, DataFrame], where: str, prefix: str, buckets: int) -> dict[str, str]:
+    """Write tables as buckets in folder ``where`` and enter them in the catalogue under ``prefix``; their names there.
 
     Each task holds whole buckets when it writes, so that there is one file for each bucket.
     """
     names = {}
-    for name, key in DEALT_BY.items():
+    for name in tables:
+        key = DEALT_BY[name]
         names[name] = f"{prefix}_{name}"
         rows = tables[name].repartition(buckets, key)
         rows.write.mode("overwrite").format("parquet").option("compression", "zstd").option("path", f"{where}/{name}").bucketBy(buckets, key).sortBy(key).saveAsTable(names[name])
-    return Bucketed(**names)
+    return names
 
 
 _STORED: dict[tuple[str, str], Bucketed] = {}
@@ -52,8 +53,11 @@ def bucketed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The ledger's tables in buckets, stored once for each application and state of the files."""
     key = (spark.sparkContext.applicationId, fingerprint(spark, sf_dir, ["orders", "lineitem"]))
     if key not in _STORED:
-        tables = {"txes": ledger.txes(spark, sf_dir), "tx_outs": ledger.tx_outs(spark, sf_dir), "tx_ins": ledger.tx_ins(spark, sf_dir)}
-        _STORED[key] = store(tables, folders.new(spark, "buckets"), f"chain_{key[1][:12]}", int(spark.conf.get("spark.sql.shuffle.partitions")))
+        where, prefix, buckets = folders.new(spark, "buckets"), f"chain_{key[1][:12]}", ledger.parts(spark, sf_dir)
+        names = store({"txes": ledger.txes(spark, sf_dir), "tx_outs": ledger.tx_outs(spark, sf_dir)}, where, prefix, buckets)
+        # inputs are made of the stored outputs, whose places are not told a second time
+        names |= store({"tx_ins": ledger.spending(spark.table(names["tx_outs"]))}, where, prefix, buckets)
+        _STORED[key] = Bucketed(**names)
     return _STORED[key].tables(spark)
 
 
