@@ -4,7 +4,8 @@ Each distinct set of five-word shingles is one node with a signature. A tree is
 signature's values; several trees use different values. In each order a node's neighbours are those with the longest
 common prefix: in a crowded region these agree to a greater depth than in a thin one, so the depth adapts itself. Nodes
 of regions that are too crowded for their neighbours to be told by one order go through further rounds of trees that
-mix the signature's values anew, in which only nodes not yet linked are neighbours. Neighbours whose sketches agree
+mix the signature's values anew, in which only nodes not yet linked are neighbours. What is left of them then is joined on
+the rarest members of the full sets, which loses no link. Neighbours whose sketches agree
 well enough become candidates, and candidates are confirmed on the full sets. A candidate is compared only while its ends
 are in different components, which keeps large groups cheap and loses no component.
 """
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainloom.llm import scratch, words
@@ -127,14 +128,13 @@ def _near(rows: pa.RecordBatch, following: int, old: int = 0) -> tuple[np.ndarra
 
 
 def _crowded(rows: pa.Table, following: int) -> pa.Array:
-    """Nodes of rows whose common prefix goes on beyond the rows that they are held against, if not all are linked
-    already."""
-    tree, root = rows["tree"].to_numpy(), rows["root"].to_numpy()
+    """Nodes of rows whose common prefix goes on beyond the rows that they are held against."""
+    tree = rows["tree"].to_numpy()
     key = np.frombuffer(b"".join(rows["key"].to_pylist()), dtype=">u2").reshape(-1, DEPTH)
     i = np.arange(max(0, len(tree) - following - 1))
     j = i + following + 1
-    i = i[(tree[i] == tree[j]) & (root[i] != root[j]) & (key[i, :LEAST_PREFIX] == key[j, :LEAST_PREFIX]).all(axis=1)]
-    return pa.array(np.unique(rows["node"].to_numpy()[np.concatenate([i, i + following + 1])]))
+    i = i[(tree[i] == tree[j]) & (key[i, :LEAST_PREFIX] == key[j, :LEAST_PREFIX]).all(axis=1)]
+    return pa.array(np.unique(rows["node"].to_numpy()[np.concatenate([i, i + following + 1])]), pa.int64())
 
 
 def _in_task(batches: Iterator[pa.RecordBatch], following: int) -> Iterator[pa.RecordBatch]:
@@ -153,7 +153,7 @@ def _in_task(batches: Iterator[pa.RecordBatch], following: int) -> Iterator[pa.R
             continue
         table = pa.Table.from_batches([batch])
         if held is None:
-            yield border(table.slice(0, following), part - 1)
+            yield border(table.slice(0, following + 1), part - 1)
         joined = table if held is None else pa.concat_tables([held, table])
         low, high, guess = _near(joined.combine_chunks().to_batches()[0], following, 0 if held is None else held.num_rows)
         crowded = _crowded(joined, following)
@@ -169,7 +169,9 @@ def _in_task(batches: Iterator[pa.RecordBatch], following: int) -> Iterator[pa.R
 def _at_border(table: pa.Table, following: int) -> pa.Table:
     rows = table.sort_by([("tree", "ascending"), ("key", "ascending"), ("node", "ascending")]).combine_chunks()
     low, high, guess = _near(rows.select(["tree", "key", "node", "root", "sketch"]).to_batches()[0], following)
-    return pa.table({"a": low, "b": high, "guess": guess})
+    crowded = _crowded(rows, following)
+    n = len(crowded)
+    return pa.table({"a": pa.concat_arrays([pa.array(low), crowded]), "b": pa.concat_arrays([pa.array(high), pa.nulls(n, pa.int64())]), "guess": pa.concat_arrays([pa.array(guess), pa.nulls(n, pa.float64())])})
 
 
 def one_round(nodes: DataFrame, following: int) -> tuple[DataFrame, DataFrame]:
@@ -185,9 +187,9 @@ def one_round(nodes: DataFrame, following: int) -> tuple[DataFrame, DataFrame]:
     ordered = trees.repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
     found = scratch.keep(ordered.mapInArrow(lambda batches: _in_task(batches, following), f"a bigint, b bigint, guess double, border int, {_ROWS}"), "neighbours")
     across = found.where("border is not null").select("border", "tree", "key", "node", "root", "sketch").groupBy("border").applyInArrow(lambda table: _at_border(table, following), "a bigint, b bigint, guess double")
-    inside = found.where("border is null")
-    pairs = inside.where("b is not null").select("a", "b", "guess").unionByName(across)
-    return pairs.groupBy("a", "b").agg(F.max("guess").alias("guess")), inside.where("b is null").select(F.col("a").alias("node")).distinct()
+    every = found.where("border is null").select("a", "b", "guess").unionByName(across)
+    pairs = every.where("b is not null")
+    return pairs.groupBy("a", "b").agg(F.max("guess").alias("guess")), every.where("b is null").select(F.col("a").alias("node")).distinct()
 
 
 def mixed(signature: Column, number: int) -> Column:
@@ -287,9 +289,41 @@ def link(docs: DataFrame, nodes: DataFrame, renamed: DataFrame | None = None) ->
         roots = _confirmed(left, sets, roots)
         if not crowded.limit(1).count():
             break
+        if not mix:  # further rounds mix the values anew: what shares a prefix of these orders, and was not held against it
+            rest = crowded
+    else:
+        roots = _confirmed(scratch.keep(sharing(rest, sets, roots), "rest"), sets, roots)
     return roots
 
 
+def sharing(rest: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Exact candidates (a < b, estimate) among the nodes ``rest``: all pairs in different components that may be similar enough.
+
+    Of two sets that are, each has one of its rarest members in common with the rarest of the other: as many as it may lack
+    and one more. So pairs come from a join on those alone. Members that one component holds give none.
+    """
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members = [np.frombuffer(v.as_buffer(), dtype=np.int64) for v in batch.column(2)]
+            n = np.array([len(m) for m in members], dtype=np.int64)
+            for low in range(0, len(n), 256):
+                own = n[low : low + 256]
+                columns = [np.repeat(c.to_numpy()[low : low + 256], own) for c in batch.columns[:2]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, np.repeat(own, own), np.concatenate(members[low : low + 256]))], names=["node", "root", "n", "member"])
+
+    rooted = sets.join(rest, "node", "left_semi").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "members")
+    rows = scratch.keep(rooted.mapInArrow(opened, "node bigint, root bigint, n bigint, member bigint"), "members")
+    counts = rows.groupBy("member").agg(F.count(F.lit(1)).alias("f"), (F.min("root") != F.max("root")).alias("shared"))
+    lacks = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
+    rare = rows.join(counts, "member").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("f", "member")))
+    rare = scratch.keep(rare.where(F.col("shared") & (F.col("rank") <= lacks + 1)).select("node", "root", "n", "member"), "rare")
+    a, b = (rare.select("member", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n"))) for s in "ab")
+    sizes = (DENOMINATOR * F.col("n_a") >= NUMERATOR * F.col("n_b")) & (DENOMINATOR * F.col("n_b") >= NUMERATOR * F.col("n_a"))
+    pairs = a.join(b, "member").where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & sizes)
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().withColumn("guess", F.lit(LEAST_ESTIMATE))
+
+
 def _confirmed(left: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame:
     """The roots that follow from the links before and those among the candidates ``left`` that exact checks confirm.
 

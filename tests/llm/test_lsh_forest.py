@@ -178,3 +178,21 @@ def test_sets_with_one_first_hash_stay_apart(spark):
     got = sorted((r["check"], r["node"]) for r in rename(sets, renamed).collect())
     assert len({n for _, n in got}) == 4 and [g for g in got if g[0] != 11] == [(10, 1), (20, 2), (30, 3)]
     assert clashes(sets.where("check <> 11")) is None
+
+
+def test_what_the_rounds_leave_is_joined_exactly(spark, monkeypatch):
+    """Rounds that hold each row against one other lose links of a crowd; the join on the rarest members has them all."""
+    monkeypatch.setattr(lsh_forest, "ROUNDS", ((0, 1), (0, 1)))
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    template = [word() for _ in range(144)]
+    rows = [(k, " ".join([*template, *(word() for _ in range(26))])) for k in range(400)]
+    for k in range(40):
+        own = rows[k][1].split()[144:]
+        rows.append((10_000 + k, " ".join([*template, *own[:9], *(word() for _ in range(17))])))
+    found = lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    root = {r["doc_id"]: r["component_id"] for r in found}
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in ((k, t.split()) for k, t in rows)}
+    linked = [(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and 100 * len(x & y) >= 75 * len(x | y)]
+    assert len(linked) >= 40 and all(root[a] == root[b] for a, b in linked)
+    assert len(set(root.values())) == len(rows) - len({b for _, b in linked})
