@@ -172,21 +172,21 @@ def _number(hash_: str) -> F.Column:
 @query("SELECT tx_hash, idx, CAST(address AS VARCHAR) AS address, value FROM tx_outs WHERE tx_hash IN (SELECT tx_hash FROM txes)")
 def shred_outputs(spark, sf_dir):
     """Outputs of nested blocks, flat again."""
-    rows = shred.outputs(nested.stored(spark, sf_dir))
+    rows = shred.outputs(nested.stored_opened(spark, sf_dir))
     return rows.select(_number("tx_hash").alias("tx_hash"), F.col("index").cast("long").alias("idx"), "address", "value")
 
 
 @query("SELECT tx_in_hash, tx_out_hash, tx_out_index FROM tx_ins WHERE tx_in_hash IN (SELECT tx_hash FROM txes)")
 def shred_inputs(spark, sf_dir):
-    rows = shred.inputs(nested.stored(spark, sf_dir))
+    rows = shred.inputs(nested.stored_opened(spark, sf_dir))
     return rows.select(_number("tx_in_hash").alias("tx_in_hash"), _number("tx_out_hash").alias("tx_out_hash"), F.col("tx_out_index").cast("long").alias("tx_out_index"))
 
 
 @query("SELECT tx_hash, CAST(addr AS VARCHAR) AS addr, amount FROM withdrawals")
 def shred_withdrawals(spark, sf_dir):
     """Withdrawals of all blocks, those of the first era too, which the ledger's own table leaves out."""
-    rows = nested.stored(spark, sf_dir).select(F.explode("txs").alias("tx"))
-    return rows.select(_number("tx.hash").alias("tx_hash"), F.explode("tx.withdrawals").alias("addr", "amount"))
+    rows = nested.stored_opened(spark, sf_dir)
+    return rows.select(_number("tx_hash").alias("tx_hash"), F.explode("tx_withdrawals").alias("addr", "amount"))
 
 
 @query()
@@ -206,7 +206,7 @@ WHERE l_linenumber = 1 AND l_orderkey IN (SELECT o_orderkey FROM orders) AND l_o
 def collateral_assets(spark, sf_dir):
     """Assets of collateral outputs, each looked up before it is written; lines are the claims."""
     claims = ledger.table(spark, sf_dir, "lineitem").select(nested.tx_hash(F.col("l_orderkey")).alias("tx_hash"), (F.col("l_linenumber") - 1).alias("index"), F.col("l_partkey").alias("asset"))
-    outputs = shred.collateral_outputs(nested.stored(spark, sf_dir))
+    outputs = shred.collateral_outputs(nested.stored_opened(spark, sf_dir))
     found = shred.collateral_assets(claims, outputs).groupBy("tx_hash", "index", "asset").agg(F.count(F.lit(1)).alias("n"))
     return found.withColumn("tx_hash", F.lower(F.hex("tx_hash")))
 

@@ -129,4 +129,4 @@ SELECT block_no, CAST(count(*) FILTER (WHERE k IN (SELECT k FROM o) AND k % 20 =
 def selected_blocks(spark, sf_dir):
     """Selective indexing: of the blocks in a range of slots the transactions to some addresses with a metadata key."""
     chosen = Selection(addresses=["1", "2", "3"], metadata_keys=[7], first_slot=20_000_000, last_slot=120_000_000)
-    return select_blocks(nested.stored(spark, sf_dir), chosen).select("block_no", F.size("txs").cast("long").alias("txes"))
+    return select_blocks(nested.stored(spark, sf_dir, only=("outputs", "metadata")), chosen).select("block_no", F.size("txs").cast("long").alias("txes"))

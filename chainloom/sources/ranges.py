@@ -114,11 +114,12 @@ class SlotSource(DataSource):
         return SlotReader(schema, dict(self.options))
 
 
-def lay_out(rows: DataFrame, path: str, column: str = "slot", group_rows: int = GROUP_ROWS, finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
+def lay_out(rows: DataFrame, path: str, column: str = "slot", group_rows: int = GROUP_ROWS, finish: Callable[[DataFrame], DataFrame] | None = None, parts: int | None = None) -> None:
     """Store a table for the source: files hold ranges of the column, row groups too.
 
-    ``finish`` makes of narrow rows, which alone are shuffled, those to be stored, row by row and in their order."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ``finish`` makes of narrow rows, which alone are shuffled, those to be stored, in their order; ``parts`` is the
+    number of ranges, if not the session's."""
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(parts, column).sortWithinPartitions(column)
     ranged = finish(ranged) if finish else ranged
     ranged.write.option("parquet.block.row.count.limit", group_rows).option("compression", "zstd").parquet(path)
