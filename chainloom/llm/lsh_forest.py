@@ -34,6 +34,8 @@ HASHES = 128  # MinHash values of a signature; two bits of each make the sketch
 LEAST_ESTIMATE, SURE_ESTIMATE = 0.45, 0.90
 NUMERATOR, DENOMINATOR = 75, 100  # similarity of a link
 RANGE_ROWS = 20_000  # rows of an order's range at least, on average
+#: Members and sets of a block at most, on average, and members that are compared at once.
+BLOCK_MEMBERS, BLOCK_NODES, CHUNK_MEMBERS = 1 << 16, 512, 1 << 12
 PAIRS = 1_000  # pairs of sets that a task confirms at least, on average
 #: Removed rows up to which a stage may broadcast their ids (16 bytes each).
 BROADCAST_ROWS = 1_000_000
@@ -292,15 +294,59 @@ def link(docs: DataFrame, nodes: DataFrame, renamed: DataFrame | None = None) ->
         if not mix:  # further rounds mix the values anew: what shares a prefix of these orders, and was not held against it
             rest = crowded
     else:
-        roots = _confirmed(scratch.keep(sharing(rest, sets, roots), "rest"), sets, roots)
+        links = scratch.keep(sharing(rest, sets, roots), "links")
+        if links.limit(1).count():
+            roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     return roots
 
 
+def _crossed(table: pa.Table) -> pa.Table:
+    """Links (a, b) between the sets of two blocks, or within one, that join different roots: those that no others imply.
+
+    How many members two sets have in common is a product of matrices over the members of both blocks."""
+    table = table.combine_chunks()
+    side, node, root = (table[c].to_numpy() for c in ("side", "node", "root"))
+    sets = [np.frombuffer(v.as_buffer(), dtype=np.int64) for v in table["members"]]
+    n = np.array([len(m) for m in sets], dtype=np.int64)
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1) if (side == 1).any() else left
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(n)), n)
+    often = times > 1  # a member of one set alone is in no other
+    row, column = row[often[column]], (np.cumsum(often) - 1)[column[often[column]]]
+    both = np.zeros((len(left), len(right)), dtype=np.int64)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, int(often.sum()), CHUNK_MEMBERS):
+        some = slice(*np.searchsorted(column, [low, low + CHUNK_MEMBERS]))
+        has = np.zeros((len(n), CHUNK_MEMBERS), dtype=np.float32)
+        has[row[some], column[some] - low] = 1
+        both += np.rint(has[left] @ has[right].T).astype(np.int64)
+    alike = (DENOMINATOR * both >= NUMERATOR * (n[left][:, None] + n[right][None, :] - both)) & (root[left][:, None] != root[right][None, :])
+    above: dict[int, int] = {}
+
+    def top(r: int) -> int:
+        while (up := above.get(r, r)) != r:
+            above[r] = r = above.get(up, up)
+        return r
+
+    found = []
+    for i, j in np.argwhere(alike):
+        x, y = top(int(root[left[i]])), top(int(root[right[j]]))
+        if x != y:
+            above[x] = y
+            found.append((left[i], right[j]))
+    at = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return pa.table({"a": pa.array(node[at[:, 0]], pa.int64()), "b": pa.array(node[at[:, 1]], pa.int64())})
+
+
 def sharing(rest: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Exact candidates (a < b, estimate) among the nodes ``rest``: all pairs in different components that may be similar enough.
+    """Links (a, b) among the nodes ``rest`` that join all components whose sets are similar enough.
 
     Of two sets that are, each has one of its rarest members in common with the rarest of the other: as many as it may lack
-    and one more. So pairs come from a join on those alone. Members that one component holds give none.
+    and one more. Members that one component holds tell nothing. Nodes lie in blocks with others that have the same one of
+    these members, or within a small region of nodes that such members connect; two blocks with such a member in common are
+    compared whole, in one task: rows grow with the pairs of blocks, not of nodes.
     """
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,11 +363,24 @@ def sharing(rest: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
     counts = rows.groupBy("member").agg(F.count(F.lit(1)).alias("f"), (F.min("root") != F.max("root")).alias("shared"))
     lacks = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
     rare = rows.join(counts, "member").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("f", "member")))
-    rare = scratch.keep(rare.where(F.col("shared") & (F.col("rank") <= lacks + 1)).select("node", "root", "n", "member"), "rare")
-    a, b = (rare.select("member", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n"))) for s in "ab")
-    sizes = (DENOMINATOR * F.col("n_a") >= NUMERATOR * F.col("n_b")) & (DENOMINATOR * F.col("n_b") >= NUMERATOR * F.col("n_a"))
-    pairs = a.join(b, "member").where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & sizes)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().withColumn("guess", F.lit(LEAST_ESTIMATE))
+    rare = scratch.keep(rare.where(F.col("shared") & (F.col("rank") <= lacks + 1)).select("node", "n", "member", "f"), "rare")
+    least = rare.groupBy("member").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last").drop("last")
+    edges = scratch.keep(rare.join(least, "member").select(F.col("node").alias("a"), "b").where("a <> b").distinct(), "regions")
+    if not edges.limit(1).count():
+        return edges
+    regions = components(edges).withColumnRenamed("root", "region")
+    hubs = rare.groupBy("node", "n").agg(F.max(F.struct("f", "member")).alias("most")).select("node", "n", F.col("most.member").alias("hub"))
+    hubs = scratch.keep(hubs.join(regions, "node"), "hubs")
+    room = F.ceil(F.greatest(F.sum("n") / BLOCK_MEMBERS, F.count(F.lit(1)) / BLOCK_NODES))
+    own, split = hubs.groupBy("region").agg(room.alias("own")), hubs.groupBy("region", "hub").agg(room.alias("split"))
+    block = F.xxhash64("region", F.pmod(F.xxhash64("hub"), F.col("own")), F.pmod(F.xxhash64("node"), F.col("split")))
+    blocks = scratch.keep(hubs.join(own, "region").join(split, ["region", "hub"]).select("node", "own", block.alias("block")), "blocks")
+    spans = scratch.keep(rare.join(blocks.where("own > 1"), "node").select("member", "block").distinct(), "spans")
+    pairs = spans.withColumnRenamed("block", "block_a").join(spans.withColumnRenamed("block", "block_b"), "member").where("block_a < block_b").select("block_a", "block_b").distinct()
+    pairs = pairs.unionByName(blocks.select(F.col("block").alias("block_a"), F.col("block").alias("block_b")).distinct())
+    sides = pairs.select("block_a", "block_b", F.explode(F.expr("if(block_a = block_b, array(0), array(0, 1))")).alias("side")).withColumn("block", F.when(F.col("side") == 0, F.col("block_a")).otherwise(F.col("block_b")))
+    placed = scratch.keep(rooted.join(blocks.drop("own"), "node"), "placed", "none")
+    return sides.join(placed, "block").select("block_a", "block_b", "side", "node", "root", "members").groupBy("block_a", "block_b").applyInArrow(_crossed, "a bigint, b bigint")
 
 
 def _confirmed(left: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 import random
+import struct
 import re
 from collections import Counter
 
@@ -196,3 +197,27 @@ def test_what_the_rounds_leave_is_joined_exactly(spark, monkeypatch):
     linked = [(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and 100 * len(x & y) >= 75 * len(x | y)]
     assert len(linked) >= 40 and all(root[a] == root[b] for a, b in linked)
     assert len(set(root.values())) == len(rows) - len({b for _, b in linked})
+
+
+def test_a_crowd_is_compared_in_blocks(spark, monkeypatch):
+    """What is joined exactly gives the links that join components, and no row for each pair of a crowd."""
+    monkeypatch.setattr(lsh_forest, "BLOCK_NODES", 32)
+    rng = random.Random(4)
+    template = rng.sample(range(10**12), 150)
+    sets = {k: {*template, *(rng.randrange(10**12) for _ in range(30))} for k in range(300)}  # 150 of 210 at most
+    for k in range(20):
+        sets[1000 + k] = {*sorted(sets[k])[: 160 + k % 3], *(rng.randrange(10**12) for _ in range(18))}
+    alike = [(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and 100 * len(x & y) >= 75 * len(x | y)]
+    nodes = spark.createDataFrame([(k, struct.pack(f"<{len(m)}q", *sorted(m))) for k, m in sets.items()], "node long, members binary")
+    roots = spark.createDataFrame([(1000, 0), (0, 0)], "node long, root long")
+    found = [tuple(sorted(r)) for r in lsh_forest.sharing(nodes.select("node"), nodes, roots).collect()]
+    assert alike and set(found) <= set(alike) and len(found) <= 2 * len(alike) < len(sets)
+
+    def classes(links):
+        least = {k: k for k in sets}
+        for _ in range(len(sets)):
+            for a, b in links:
+                least[a] = least[b] = min(least[a], least[b])
+        return least
+
+    assert classes([*found, (0, 1000)]) == classes([*alike, (0, 1000)])
