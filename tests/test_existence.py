@@ -70,3 +70,15 @@ def test_many_selectors_and_ranges_make_no_nested_loop(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert found.count() == sum(1 for k in range(0, 50_000, 2) if k * 37 % 20 <= 5 and k * 37 < 2_000_000)
+
+
+def test_a_key_needs_one_page_and_the_batch_one_exchange(spark):
+    """The bits of a key lie in one page; neither building nor looking up gathers rows by key again."""
+    held, batch = tables(spark)
+    keys, bits = ["id", "name"], 1 << 20
+    one = existence.build(held.where("id = 4"), keys, bits)
+    assert one.count() == 1 and one.select(F.bitmap_count("bits")).first()[0] <= existence.HASHES
+    existing = existence.build(held, keys, bits)
+    plan = existence.marked(batch, existing, keys, bits)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id" not in plan
+    assert existing.count() > 20
