@@ -185,7 +185,7 @@ def shred_inputs(spark, sf_dir):
 @query("SELECT tx_hash, CAST(addr AS VARCHAR) AS addr, amount FROM withdrawals")
 def shred_withdrawals(spark, sf_dir):
     """Withdrawals of all blocks, those of the first era too, which the ledger's own table leaves out."""
-    rows = nested.stored_opened(spark, sf_dir)
+    rows = nested.stored_opened(spark, sf_dir, items=False)
     return rows.select(_number("tx_hash").alias("tx_hash"), F.explode("tx_withdrawals").alias("addr", "amount"))
 
 
@@ -206,7 +206,7 @@ WHERE l_linenumber = 1 AND l_orderkey IN (SELECT o_orderkey FROM orders) AND l_o
 def collateral_assets(spark, sf_dir):
     """Assets of collateral outputs, each looked up before it is written; lines are the claims."""
     claims = ledger.table(spark, sf_dir, "lineitem").select(nested.tx_hash(F.col("l_orderkey")).alias("tx_hash"), (F.col("l_linenumber") - 1).alias("index"), F.col("l_partkey").alias("asset"))
-    outputs = shred.collateral_outputs(nested.stored_opened(spark, sf_dir))
+    outputs = shred.collateral_outputs(nested.stored_opened(spark, sf_dir, items=False))
     found = shred.collateral_assets(claims, outputs).groupBy("tx_hash", "index", "asset").agg(F.count(F.lit(1)).alias("n"))
     return found.withColumn("tx_hash", F.lower(F.hex("tx_hash")))
 
