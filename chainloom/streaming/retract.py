@@ -16,6 +16,14 @@ from chainloom import folders
 from chainloom.streaming import jobs
 
 
+#: Rows up to which blocks of a batch, or keys that lose some, go to all tasks; beyond they are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 @dataclass(frozen=True)
 class Retracting:
     """A merged aggregate of rows (seq, kind, slot, keys, amount) in folder ``where``.
@@ -39,8 +47,8 @@ class Retracting:
     def _span(self) -> Column:
         return F.floor(F.col("slot") / self.span).cast("int")
 
-    def _write(self, rows: DataFrame, kind: str, number: int, part: Column) -> None:
-        rows.withColumn("part__", part).repartition("part__").write.mode("overwrite").partitionBy("part__").parquet(f"{self.where}/{kind}/v{number}")
+    def _write(self, rows: DataFrame, kind: str, number: int) -> None:
+        rows.write.mode("overwrite").partitionBy("part__").parquet(f"{self.where}/{kind}/v{number}")
 
     def _latest(self, session, kind: str, below: int | None = None, only: set[int] | None = None) -> list[str]:
         found = jobs.state(session, f"{self.where}/{kind}", below)
@@ -54,41 +62,40 @@ class Retracting:
         session, names = batch.sparkSession, self.names
         batch = batch.persist()
         back = batch.where("kind = 'rollback'").agg(F.min("slot")).first()[0]
-        fresh = jobs.standing(batch).groupBy("slot", *names).agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")).persist()
-        fresh_spans = {r[0] for r in fresh.select(self._span()).distinct().collect()}  # few: a batch is a range of slots
+        # which blocks stand follows from the blocks alone, so that no window has to move their rows
+        standing = jobs.standing(batch.select("seq", "kind", "slot").distinct()).select("seq", "slot").persist()
+        fresh_spans = {r[0] for r in standing.select(self._span()).distinct().collect()}  # few: a batch is a range of slots
         stored = {int(p) for p in jobs.state(session, f"{self.where}/slots", number)}
         touched = fresh_spans | {s for s in stored if back is not None and (s + 1) * self.span > back + 1}
         held = jobs.read_parts(session, self._latest(session, "slots", number, touched), f"slot long, {self.keys}, n long, amount long").where("n > 0").persist()
         stays = F.lit(True) if back is None else F.col("slot") <= back
         kept, gone = held.where(stays), held.where(~stays)
-        fresh = fresh.join(kept.select("slot").distinct(), "slot", "left_anti")
+        new = standing.join(kept.select("slot").distinct(), "slot", "left_anti").select(F.col("seq").alias("seq__"), F.col("slot").alias("slot__")).persist()
+        rows = batch.where("kind = 'forward'").join(_small(new), (F.col("seq") == F.col("seq__")) & F.col("slot").eqNullSafe(F.col("slot__")), "left_semi")
+        fresh = rows.groupBy("slot", *names).agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")).persist()
         # a row without a count for each span, so that an emptied one has a newest version too
         marks = session.createDataFrame([(s * self.span,) for s in sorted(touched)], "slot long").select("slot", *(F.lit(None).cast(k.split()[1]).alias(k.split()[0]) for k in self.keys.split(",")), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("amount"))
-        self._write(kept.unionByName(fresh).unionByName(marks), "slots", number, self._span())
+        self._write(kept.unionByName(fresh).unionByName(marks).withColumn("part__", self._span()), "slots", number)
         now = jobs.read_parts(session, [f"{self.where}/slots/v{number}"], f"slot long, {self.keys}, n long, amount long, part__ int")
-        self._write(now.groupBy("part__", *names).agg(F.min("slot").alias("first"), F.max("slot").alias("last"), F.sum("n").alias("n")), "ends", number, F.col("part__"))
-        change = fresh.withColumn("lost", F.lit(False)).unionByName(gone.withColumns({"n": -F.col("n"), "amount": -F.col("amount"), "lost": F.lit(True)}))
-        own = F.when(~F.col("lost"), F.col("slot"))
-        change = change.groupBy(*names).agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"), F.min(own).alias("first"), F.max(own).alias("last"), F.max("lost").alias("lost")).withColumn("part__", self._part()).persist()
-        parts = {r[0] for r in change.select("part__").distinct().collect()}  # at most ``parts``
+        self._write(now.groupBy("part__", *names).agg(F.min("slot").alias("first"), F.max("slot").alias("last"), F.sum("n").alias("n")), "ends", number)
+        parts = {r[0] for r in fresh.select(*names).unionByName(gone.select(*names)).select(self._part()).distinct().collect()}  # at most ``parts``
         old = jobs.read_parts(session, self._latest(session, "totals", number, parts), self._totals)
         self._latest(session, "ends", number)
-        if back is not None:
-            # keys that lost slots take their ends from those of the spans, which hold this batch already
+        rows = fresh.select(*names, "n", "amount", F.col("slot").alias("first"), F.col("slot").alias("last"))
+        lost = gone.select(*names).distinct().persist()
+        if not lost.isEmpty():
+            # keys that lost slots take their ends from those of the spans, which hold this batch already, not from their old ones
+            few = _small(lost.select(*(F.col(k).alias(f"{k}__") for k in names), F.lit(True).alias("void")))
+            same = [F.col(k).eqNullSafe(F.col(f"{k}__")) for k in names]
+            zero = [F.lit(0).cast("long").alias(c) for c in ("n", "amount")]
             ends = jobs.read_parts(session, self._latest(session, "ends"), f"{self.keys}, first long, last long, n long").where("n > 0")
-            lost = change.where("lost").select(*names)
-            ends = ends.join(lost, [ends[k].eqNullSafe(lost[k]) for k in names], "left_semi").groupBy(*names).agg(F.min("first").alias("first"), F.max("last").alias("last"))
-            counts = change.select(*names, "n", "amount", *(F.when(~F.col("lost"), F.col(c)).alias(c) for c in ("first", "last")), "lost")
-            # the old ends of these keys do not count; whole parts are rewritten, the rest of their rows as they are
-            marked = lost.select(*(F.col(k).alias(f"{k}__") for k in names), F.lit(True).alias("void"))
-            old = old.join(marked, [F.col(k).eqNullSafe(F.col(f"{k}__")) for k in names], "left").select(*names, "n", "amount", *(F.when(F.col("void").isNull(), F.col(c)).alias(c) for c in ("first", "last")))
-            more = ends.select(*names, F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("amount"), "first", "last")
-            rows = old.unionByName(counts.drop("lost")).unionByName(more)
-        else:
-            rows = old.unionByName(change.drop("lost", "part__"))
-        merged = rows.groupBy(*names).agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"), F.min("first").alias("first"), F.max("last").alias("last"))
-        self._write(merged, "totals", number, self._part())
-        for frame in (batch, fresh, held, change):
+            old = old.join(few, same, "left").select(*names, "n", "amount", *(F.when(F.col("void").isNull(), F.col(c)).alias(c) for c in ("first", "last")))
+            less = gone.select(*names, *((-F.col(c)).alias(c) for c in ("n", "amount")), *(F.lit(None).cast("long").alias(c) for c in ("first", "last")))
+            rows = rows.unionByName(less).unionByName(ends.join(few, same, "left_semi").select(*names, *zero, "first", "last"))
+        # dealt by part once, as they are stored; whole parts are rewritten, the rows of other keys as they are
+        rows = old.unionByName(rows).withColumn("part__", self._part()).repartition("part__")
+        self._write(rows.groupBy("part__", *names).agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"), F.min("first").alias("first"), F.max("last").alias("last")), "totals", number)
+        for frame in (batch, standing, held, new, fresh, lost):
             frame.unpersist()
 
     @property

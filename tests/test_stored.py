@@ -13,7 +13,7 @@ from chainloom import folders
 from chainloom.operators import utxo, wallets
 from chainloom.plans import registry
 from chainloom.sources import layout, ledger, ranges
-from chainloom.streaming import keyed
+from chainloom.streaming import keyed, retract
 from chainloom.streaming.retract import Retracting
 
 DATA = "/root/testdata/sf0.001"
@@ -123,6 +123,18 @@ def test_a_rollback_rewrites_spans_beyond_it_only(spark, tmp_path):
     assert sorted(map(tuple, state.table(spark).collect())) == [(k, 15, 15, k, 42 + k) for k in range(3)]
 
 
+def test_rows_of_a_batch_go_through_no_window(spark, tmp_path, monkeypatch):
+    seen, standing = [], retract.jobs.standing
+    monkeypatch.setattr(retract.jobs, "standing", lambda events: seen.append((events.columns, events.count())) or standing(events))
+    monkeypatch.setattr(retract, "BROADCAST_ROWS", 0)  # blocks and keys are joined by a shuffle, with the same result
+    state = Retracting(f"file://{tmp_path}/state", "a long", 10, 2)
+    schema = "seq long, kind string, slot long, a long, amount long"
+    state.step(spark.createDataFrame([(s, "forward", s, k, 1) for s in range(20) for k in range(50)], schema), 0)
+    state.step(spark.createDataFrame([(20, "rollback", 14, None, None), *((21, "forward", 16, k, 2) for k in range(25))], schema), 1)
+    assert seen == [(["seq", "kind", "slot"], 20), (["seq", "kind", "slot"], 2)]
+    assert sorted(map(tuple, state.table(spark).collect())) == [(k, 16, 17, 0, 16) if k < 25 else (k, 15, 15, 0, 14) for k in range(50)]
+
+
 def test_a_slot_that_comes_again_counts_once(spark, tmp_path):
     state = Retracting(f"file://{tmp_path}/state", "a long", 10, 2)
     schema = "seq long, kind string, slot long, a long, amount long"
