@@ -127,6 +127,14 @@ def sessions(events: DataFrame, keys: list[str], ts: str, quiet: str, late: str)
     return spans.agg(F.count(F.lit(1)).alias("events")).select(*keys, F.col("w.start").alias("first"), F.col("w.end").alias("until"), "events")
 
 
+def open_sessions(spark: SparkSession, where: str, keys: list[str]) -> DataFrame:
+    """The spans of ``sessions`` that a run has left in its state, since the watermark has not passed them."""
+    if not folders.names(spark, f"{where}/state/commits"):  # no batch, no state
+        return spark.createDataFrame([], "first timestamp, until timestamp, events long").select(*(F.lit(None).alias(k) for k in keys), "first", "until", "events")
+    held = spark.read.format("statestore").load(f"{where}/state")
+    return held.select(*(f"value.{k}" for k in keys), F.col("value.session_window.start").alias("first"), F.col("value.session_window.end").alias("until"), F.col("value.count").alias("events"))
+
+
 def once(events: DataFrame, ts: str, keys: list[str], late: str) -> DataFrame:
     """Each key's first event within the watermark."""
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)

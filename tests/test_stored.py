@@ -6,6 +6,7 @@ import random
 import re
 from collections import defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,3 +251,24 @@ def test_episodes_of_the_query_take_no_call_for_each_key(spark, monkeypatch):
         registry.QUERIES[name](spark, DATA)
     assert "session_window" in plans[0] and "TransformWithState" not in plans[0]
     assert "Pandas" not in plans[1]
+
+
+def test_episodes_that_the_watermark_cannot_tell_have_ended(spark, tmp_path):
+    """Ended by a later event within the last hours, within a millisecond of the last event, and by events without a time."""
+    end = datetime.datetime(2024, 1, 3, 0, 0, 0, 700)
+    ago = lambda hours, micros=0: end - datetime.timedelta(hours=hours, microseconds=micros)
+    rows = [(1, ago(12.5)), (1, ago(0.2)), (2, ago(12.5)), (2, ago(0.6)), (3, ago(13)), (4, ago(13, -300)), (5, ago(13, 300)), (6, ago(40)), (7, end), (8, ago(13, 699)), (9, ago(3)), (9, None), (9, None)]
+    rows += [(None, ago(30)), (None, ago(12.5)), (None, ago(0.2)), (None, None), (None, None)]
+    events = spark.createDataFrame([(t, u, "error") for u, t in rows], "ts timestamp_ntz, user_id long, event_type string")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    expected = duck.sql(registry.ORACLES["error_episodes"]).fetchall()
+    assert len(expected) == 8
+    found = registry.QUERIES["error_episodes"](spark, str(tmp_path)).select("event_type", "user_id", "count", "first", "last").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+
+
+def test_no_events_have_no_episodes(spark, tmp_path):
+    spark.createDataFrame([], "ts timestamp_ntz, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    assert registry.QUERIES["error_episodes"](spark, str(tmp_path)).collect() == []
